@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import count
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arcweave.operators.graph import arcs, vertex_degree
@@ -159,7 +160,7 @@ def neighbors(graph: Graph, frontier: Frontier) -> DataFrame:
 
 
 def _id_table(spark: SparkSession, ids) -> DataFrame:
-    return spark.createDataFrame([(i,) for i in ids], "vertex_id bigint")
+    return spark.createDataFrame(pa.table({"vertex_id": list(ids)}))
 
 
 def _hubs_in(graph: Graph, frontier: Frontier) -> frozenset[int]:
@@ -264,19 +265,20 @@ def search(graph: Graph, root: int, narrow: int = NARROW) -> Search:
 
     def flush() -> None:
         if pending:
-            write(spark.createDataFrame(pending, _LEVELS).coalesce(1))
+            ids, depths = zip(*pending)
+            write(spark.createDataFrame(pa.table({"vertex_id": ids, "level": depths})))
             pending.clear()
 
-    present = graph.vertices.where(F.col("vertex_id") == root).take(1)
-    if not present:
-        return Search(graph, root, write(spark.createDataFrame([], _LEVELS)))
+    if not graph.vertices.where(F.col("vertex_id") == root).take(1):
+        return Search(graph, root, initial_state(graph.vertices.limit(0)))
 
     pending.append((root, 0))
     before: Frontier | None = None
     newest = Frontier(1, ids=(root,))
     for level in count(1):
         seen = [newest] if before is None else [newest, before]
-        fresh = without(neighbors(graph, newest), *seen).distinct()
+        # Dedupe first: broadcast sides still move below it, large ones stay above.
+        fresh = without(neighbors(graph, newest).distinct(), *seen)
         if newest.ids is not None:
             some = [r.vertex_id for r in fresh.limit(narrow + 1).collect()]
             if not some:

@@ -79,16 +79,17 @@ def fold(vertices: DataFrame, *aggregates: Column) -> DataFrame:
 
 
 def ranked_arcs(
-    arc_table: DataFrame, heavy_floor: int = HEAVY_FLOOR
+    arc_table: DataFrame, degrees: DataFrame, heavy_floor: int = HEAVY_FLOOR
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Number the arcs of each vertex 0, 1, 2, ... by ascending ``dst``.
 
-    Returns ``(ordinary, hub, hubs)``. Ordinary vertices are ranked by a window
+    ``degrees`` is the vertex table of the same arcs; its maximum is read at
+    once. Returns ``(ordinary, hub, hubs)``. Ordinary vertices are ranked by a window
     per vertex. Hubs, whose arcs would not fit in one task, are first reduced
     to counted ``(src, dst)`` pairs, ranked by blocked running totals, and
     expanded again in bounded pieces. Without hubs the last two are None.
     """
-    hubs = heavy_keys(vertex_degree(arc_table), "vertex_id", "degree", heavy_floor)
+    hubs = heavy_keys(degrees, "vertex_id", "degree", heavy_floor)
     by_dst = Window.partitionBy("src").orderBy("dst")
     rank = (F.row_number().over(by_dst) - 1).cast("bigint").alias("rank")
     if hubs is None:
@@ -116,6 +117,7 @@ def ranked_arcs(
 
 def adjacency(
     arc_table: DataFrame,
+    degrees: DataFrame,
     block: int = ADJACENCY_BLOCK,
     heavy_floor: int = HEAVY_FLOOR,
 ) -> DataFrame:
@@ -124,7 +126,7 @@ def adjacency(
     A vertex with up to ``block`` neighbours has the single row ``block_no`` 0;
     a larger one continues in blocks 1, 2, ... so that no array outgrows a row.
     """
-    ordinary, hub, _ = ranked_arcs(arc_table, heavy_floor)
+    ordinary, hub, _ = ranked_arcs(arc_table, degrees, heavy_floor)
 
     def collect(ranked: DataFrame) -> DataFrame:
         return (

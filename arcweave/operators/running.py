@@ -43,7 +43,10 @@ def exclusive_running(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
 
-    rows = df.withColumn(block, F.shiftright(order, BLOCK_BITS))
+    # Never null, which spares the joins below a null filter that would make
+    # their branches differ: they share one evaluation of ``df``'s shuffle.
+    number = F.coalesce(F.col(order), F.lit(0).cast("bigint"))
+    rows = df.withColumn(block, F.shiftright(number, BLOCK_BITS))
     blocks = (
         rows.groupBy(*by, block)
         .agg(combine(value).alias("__total"))

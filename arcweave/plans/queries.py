@@ -29,6 +29,11 @@ def _degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.vertex_degree(_arcs(spark, sf_dir))
 
 
+def _written_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vertex table on disk, for queries that read it more than once."""
+    return Scratch(spark).save(_degrees(spark, sf_dir), "vertices")
+
+
 def _search(spark: SparkSession, sf_dir: str, root: int = ROOT) -> bfs.Search:
     edges = views.order_part_edges(spark, sf_dir)
     return bfs.search(bfs.build_graph(edges, Scratch(spark)), root)
@@ -98,20 +103,20 @@ def vertex_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjacency_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = graph.adjacency(_arcs(spark, sf_dir))
+    lists = graph.adjacency(_arcs(spark, sf_dir), _degrees(spark, sf_dir))
     return lists.select("vertex_id", "block_no", F.array_join("neighbors", ",").alias("neighbors"))
 
 
 def csr_row_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return csr.row_offsets(_arcs(spark, sf_dir))
+    return csr.row_offsets(_degrees(spark, sf_dir))
 
 
 def csr_row_offsets_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return csr.row_offsets(_arcs(spark, sf_dir), densify=True)
+    return csr.row_offsets(_written_degrees(spark, sf_dir), densify=True)
 
 
 def csr_column_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return csr.column_indices(_arcs(spark, sf_dir))
+    return csr.column_indices(_arcs(spark, sf_dir), _written_degrees(spark, sf_dir))
 
 
 # Breadth-first search

@@ -1,0 +1,196 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+import brute
+from arcweave.operators import bfs, graph
+
+G1 = [(1, 2), (2, 3), (3, 4), (7, 8), (5, 5)]
+G8 = [(0, 1), (0, 2), (1, 3), (2, 3), (3, 4)]
+
+# edges, then per root: vertices, arcs, reached, max_level
+CASES = {
+    "components": (G1, {1: (7, 10, 4, 3), 5: (7, 10, 1, 0), 7: (7, 10, 2, 1), 9: (7, 10, 0, -1)}),
+    "multi-edges": ([(1, 2), (1, 2), (2, 1)], {1: (2, 6, 2, 1)}),
+    "empty": ([], {0: (0, 0, 0, -1)}),
+    "root in a gap": ([(5, 6)], {0: (2, 2, 0, -1), 5: (2, 2, 2, 1)}),
+    "largest id 16": ([(0, 16), (16, 1)], {0: (3, 4, 3, 2), 16: (3, 4, 3, 1)}),
+    "sparse ids": ([(0, 1 << 40), (1 << 40, 7)], {0: (3, 4, 3, 2)}),
+    "negative ids": ([(-3, -(1 << 62)), (-(1 << 62), 8)], {-3: (3, 4, 3, 2)}),
+    "complete": ([(a, b) for a in range(4) for b in range(a)], {2: (4, 12, 4, 1)}),
+    "two paths": (G8, {0: (5, 10, 5, 3)}),
+}
+
+
+def edges_df(spark, edges):
+    return spark.createDataFrame(edges, "src bigint, dst bigint")
+
+
+def found_levels(df):
+    return {r.vertex_id: r.level for r in df.collect()}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_summary_and_levels(spark, scratch, case):
+    edges, roots = CASES[case]
+    built = bfs.build_graph(edges_df(spark, edges), scratch)
+    for root, (vertices, arcs, reached, deepest) in roots.items():
+        result = bfs.search(built, root)
+        assert result.summary().first().asDict() == {
+            "vertices": vertices, "edges": arcs, "root": root,
+            "reached": reached, "max_level": deepest,
+        }
+        assert found_levels(result.levels()) == brute.levels(edges, root)
+
+
+def test_report_line(spark, scratch):
+    result = bfs.search(bfs.build_graph(edges_df(spark, G1), scratch), 1)
+    assert result.report().first().line == (
+        "Graph vertices: 7 with total edges 10.  "
+        "Reached vertices from 1 is 4 and max level is 3"
+    )
+
+
+def skewed_edges(seed=11):
+    """Two hubs hold most arcs, one arc is repeated, and a long tail hangs off."""
+    rng = random.Random(seed)
+    edges = [(0, v) for v in range(1, 400)] + [(1, 2)] * 300
+    edges += [(500, v) for v in range(501, 800)] + [(17, 503)]
+    edges += [(rng.randrange(1, 400), rng.randrange(1, 900)) for _ in range(150)]
+    edges += [(1000 + i, 1001 + i) for i in range(12)] + [(899, 1000), (5, 899)]
+    return edges
+
+
+@pytest.mark.parametrize("floor", [1 << 20, 50])
+def test_hubs_and_widths(spark, scratch, floor):
+    edges = skewed_edges()
+    built = bfs.build_graph(edges_df(spark, edges), scratch, heavy_floor=floor)
+    assert bool(built.hub_ids) == (floor == 50)
+    # How many ids count as narrow: all levels are wide, some, or none.
+    for narrow, root in ((0, 1000), (5, 1000), (5, 0), (10_000, 1000)):
+        result = bfs.search(built, root, narrow=narrow)
+        assert found_levels(result.levels()) == brute.levels(edges, root)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [4_000_000, 0])
+def test_frontiers_too_large_to_broadcast(spark, scratch, monkeypatch, rows_per_bucket):
+    """The shuffled paths: a hash table per bucket, or sort-merge."""
+    monkeypatch.setattr(bfs, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(bfs, "HASH_BUILD_ROWS", rows_per_bucket)
+    monkeypatch.setattr(bfs, "MIN_ARCS_PER_BUCKET", 200)
+    edges = skewed_edges()
+    built = bfs.build_graph(edges_df(spark, edges), scratch, heavy_floor=50)
+    assert built.buckets > 1
+    result = bfs.search(built, 1000, narrow=0)
+    assert found_levels(result.levels()) == brute.levels(edges, 1000)
+
+
+def test_many_hubs_in_one_frontier(spark, scratch, monkeypatch):
+    monkeypatch.setattr(bfs, "NARROW", 2)
+    edges = [(0, h) for h in range(1, 9)] + [(h, h * 100 + i) for h in range(1, 9) for i in range(20)]
+    built = bfs.build_graph(edges_df(spark, edges), scratch, heavy_floor=10)
+    assert built.hub_ids == frozenset(range(1, 9))
+    assert found_levels(bfs.search(built, 0).levels()) == brute.levels(edges, 0)
+
+
+def test_narrow_levels_are_flushed(spark, scratch, monkeypatch):
+    monkeypatch.setattr(bfs, "PENDING_ROWS", 4)
+    edges = [(i, i + 1) for i in range(15)]
+    built = bfs.build_graph(edges_df(spark, edges), scratch)
+    result = bfs.search(built, 0)
+    assert found_levels(result.levels()) == {i: i for i in range(16)}
+    assert {r.level: r.vertices for r in result.level_sizes().collect()} == {
+        i: 1 for i in range(16)
+    }
+    assert [r.vertex_id for r in result.level_slice(4).collect()] == [4]
+
+
+def test_expansion_never_shuffles_the_arcs(spark, scratch, monkeypatch):
+    monkeypatch.setattr(bfs, "MIN_ARCS_PER_BUCKET", 50)
+    built = bfs.build_graph(edges_df(spark, skewed_edges()), scratch)
+    assert built.buckets > 1
+    wide = scratch.save(built.vertices.select("vertex_id"), "wide")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    # A few ids read only their buckets.
+    few = bfs.neighbors(built, bfs.Frontier(2, ids=(1, 2)))
+    assert "Exchange" not in plan(few) and "In(src, [1,2])" in plan(few)
+    assert few.rdd.getNumPartitions() <= 2 < built.buckets
+    # A moderate frontier is broadcast, a large one goes to the buckets.
+    moderate = plan(bfs.neighbors(built, bfs.Frontier(10, table=wide)))
+    assert "BroadcastHashJoin" in moderate and "hashpartitioning" not in moderate
+    large = plan(bfs.neighbors(built, bfs.Frontier(bfs.BROADCAST_ROWS + 1, table=wide)))
+    assert "ShuffledHashJoin" in large
+    assert "hashpartitioning(vertex_id" in large and "hashpartitioning(src" not in large
+
+
+def test_large_sides_meet_deduped_candidates(spark, scratch):
+    """Candidates are deduped before a shuffled anti-join, not after."""
+    built = bfs.build_graph(edges_df(spark, skewed_edges()), scratch)
+    wide = scratch.save(built.vertices.select("vertex_id"), "wide")
+    huge = bfs.Frontier(bfs.BROADCAST_ROWS + 1, table=wide)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = bfs.without(bfs.neighbors(built, huge).distinct(), huge)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.index("LeftAnti") < plan.index("HashAggregate")
+
+
+def test_scan_method_agrees(spark, scratch):
+    edges = skewed_edges()
+    built = bfs.build_graph(edges_df(spark, edges), scratch, heavy_floor=50)
+    by_scan = bfs.search_by_scan(built, 0)
+    assert found_levels(by_scan) == brute.levels(edges, 0)
+    by_search = bfs.search(built, 0).levels()
+    assert bfs.level_mismatches(by_search, by_scan).count() == 0
+    row = bfs.compare_levels(by_search, by_scan).first()
+    assert row.mismatches == 0 and row.reached == row.other_reached
+
+
+def test_comparison_finds_differences(spark):
+    left = spark.createDataFrame([(1, 0), (2, 1), (3, -1)], "vertex_id bigint, level bigint")
+    right = spark.createDataFrame([(1, 0), (2, 2), (4, 1)], "vertex_id bigint, level bigint")
+    odd = {r.vertex_id for r in bfs.level_mismatches(left, right).collect()}
+    assert odd == {2, 3, 4}
+    row = bfs.compare_levels(left, right).first()
+    assert (row.vertices, row.mismatches, row.max_level, row.other_max_level) == (4, 3, 1, 2)
+
+
+def test_small_steps(spark):
+    arcs = graph.arcs(edges_df(spark, G8))
+    frontier = spark.createDataFrame([(1,), (2,)], "vertex_id bigint")
+    near = bfs.expand_once(arcs, frontier)
+    assert sorted(r.vertex_id for r in near.collect()) == [0, 3]
+    seen = spark.createDataFrame([(0,), (1,), (2,)], "vertex_id bigint")
+    assert [r.vertex_id for r in bfs.unvisited(near, seen).collect()] == [3]
+    flags = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "vertex_id bigint, flag bigint")
+    assert {r.vertex_id: r.flag for r in bfs.merge_frontiers(flags).collect()} == {1: 1, 2: 0}
+    start = bfs.initial_state(graph.vertex_set(arcs))
+    assert {r.level for r in start.collect()} == {-1}
+
+
+@settings(
+    max_examples=4, deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(
+    edges=st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), min_size=1, max_size=25),
+    root=st.integers(0, 13),
+)
+def test_random_graphs(spark, scratch, edges, root):
+    built = bfs.build_graph(edges_df(spark, edges), scratch, heavy_floor=6)
+    result = bfs.search(built, root, narrow=2)
+    levels = found_levels(result.levels())
+    assert levels == brute.levels(edges, root)
+    # Neighbours are at most one level apart, which the pruning relies on.
+    for a, b in edges:
+        assert (levels[a] == -1) == (levels[b] == -1)
+        assert abs(levels[a] - levels[b]) <= 1
+    sizes = result.level_sizes().agg(F.sum("vertices")).first()[0] or 0
+    assert sizes == sum(1 for v in levels.values() if v != -1)
