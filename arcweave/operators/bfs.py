@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arcweave.operators.graph import arcs, vertex_degree
-from arcweave.operators.skew import HEAVY_FLOOR, heavy_limit
+from arcweave.operators.skew import HEAVY_FLOOR, heavy_limit, join_unique
 from arcweave.scratch import Scratch
 
 # Level of a vertex that cannot be reached.
@@ -335,12 +335,11 @@ def initial_state(vertices: DataFrame) -> DataFrame:
 
 
 def expand_once(arc_table: DataFrame, frontier: DataFrame) -> DataFrame:
-    """Distinct neighbours of a frontier table ``(vertex_id)``, from plain arcs."""
-    return (
-        arc_table.join(frontier, F.col("src") == F.col("vertex_id"), "left_semi")
-        .select(F.col("dst").alias("vertex_id"))
-        .distinct()
+    """Distinct neighbours of distinct vertices ``(vertex_id)``, from plain arcs."""
+    leaving = join_unique(
+        arc_table, frontier.select(F.col("vertex_id").alias("src")), "src", "left_semi"
     )
+    return leaving.select(F.col("dst").alias("vertex_id")).distinct()
 
 
 def unvisited(candidates: DataFrame, seen: DataFrame) -> DataFrame:

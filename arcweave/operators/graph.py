@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from arcweave.operators.running import exclusive_running
-from arcweave.operators.skew import HEAVY_FLOOR, heavy_keys
+from arcweave.operators.skew import HEAVY_FLOOR, heavy_keys, join_unique
 
 # Neighbours per adjacency row; a vertex with more gets several rows.
 ADJACENCY_BLOCK = 1 << 20
@@ -64,8 +64,11 @@ def graph_stats(vertices: DataFrame) -> DataFrame:
 
 
 def lookup(vertices: DataFrame, probes: DataFrame) -> DataFrame:
-    """Find vertices by id: each probe id with its degree, null if absent."""
-    return probes.join(vertices, "vertex_id", "left")
+    """Find vertices by id: each probe id with its degree, null if absent.
+
+    The size of ``vertices`` is checked at once, so it is best a written table.
+    """
+    return join_unique(probes, vertices, "vertex_id", "left")
 
 
 def visit(vertices: DataFrame, *exprs: Column) -> DataFrame:
@@ -125,7 +128,13 @@ def adjacency(
 
     A vertex with up to ``block`` neighbours has the single row ``block_no`` 0;
     a larger one continues in blocks 1, 2, ... so that no array outgrows a row.
+    Only then are the arcs ranked first; ``degrees`` tells, and is read at once.
     """
+    if (degrees.agg(F.max("degree")).first()[0] or 0) <= block:
+        return arc_table.groupBy(F.col("src").alias("vertex_id")).agg(
+            F.lit(0).cast("bigint").alias("block_no"),
+            F.array_sort(F.collect_list("dst")).alias("neighbors"),
+        )
     ordinary, hub, _ = ranked_arcs(arc_table, degrees, heavy_floor)
 
     def collect(ranked: DataFrame) -> DataFrame:

@@ -1,20 +1,17 @@
 """Integer matrix × vector products on coordinate and dense-row tables.
 
-Coordinate form: ``matrix(row_id, col_id, value)`` and ``vector(idx, value)``.
-Dense form: ``rows(row_id, values array<bigint>)``. All values are bigint, and
-widened before they are multiplied; overflow of 64 bits raises.
+Coordinate form: ``matrix(row_id, col_id, value)`` and ``vector(idx, value)``,
+each index once. Dense form: ``rows(row_id, values array<bigint>)``. All values
+are widened to bigint before they are multiplied; overflow of 64 bits raises.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from arcweave.operators.skew import HEAVY_FLOOR, heavy_keys
+from arcweave.operators.skew import BROADCAST_ROWS, HEAVY_FLOOR, join_unique
 from arcweave.session import require_ansi
 
-# A vector of up to this many rows (two bigints each) is broadcast.
-BROADCAST_ROWS = 2_000_000
-
 # Widest dense row: the vector then is one array of at most 32 MB.
 DENSE_WIDTH = 1 << 22
 
@@ -91,34 +88,6 @@ def dims(rows: DataFrame) -> DataFrame:
     )
 
 
-def _paired(
-    matrix: DataFrame, vector: DataFrame, how: str, heavy_floor: int, broadcast_rows: int
-) -> DataFrame:
-    """Matrix entries with the vector element of their column as ``factor``.
-
-    A vector of checked small size is broadcast and the matrix stays in place.
-    Beyond that the two are shuffled on the column, except for columns that
-    hold too many entries for one task: fewer than 65536 of those can exist,
-    so their vector elements are broadcast.
-    """
-    side = vector.select(
-        F.col("idx").cast("bigint").alias("col_id"),
-        F.col("value").cast("bigint").alias("factor"),
-    )
-    if side.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return matrix.join(F.broadcast(side), "col_id", how)
-
-    counts = matrix.groupBy("col_id").agg(F.count("*").alias("entries"))
-    heavy = heavy_keys(counts, "col_id", "entries", heavy_floor)
-    if heavy is None:
-        return matrix.join(side, "col_id", how)
-    heavy = F.broadcast(heavy)
-    spread = matrix.join(heavy, "col_id", "left_anti").join(side, "col_id", how)
-    hot_side = F.broadcast(side.join(heavy, "col_id", "left_semi"))
-    hot = matrix.join(heavy, "col_id", "left_semi").join(hot_side, "col_id", how)
-    return spread.unionByName(hot)
-
-
 def products(
     matrix: DataFrame,
     vector: DataFrame,
@@ -132,7 +101,11 @@ def products(
     """
     require_ansi(matrix.sparkSession)
     how = "left" if keep_unmatched else "inner"
-    paired = _paired(matrix, vector, how, heavy_floor, broadcast_rows)
+    side = vector.select(
+        F.col("idx").cast("bigint").alias("col_id"),
+        F.col("value").cast("bigint").alias("factor"),
+    )
+    paired = join_unique(matrix, side, "col_id", how, heavy_floor, broadcast_rows)
     product = F.col("value").cast("bigint") * F.col("factor")
     if keep_unmatched:
         product = F.coalesce(product, F.lit(0).cast("bigint"))

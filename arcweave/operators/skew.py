@@ -11,6 +11,9 @@ HEAVY_FLOOR = 1 << 20
 # set of heavy keys is always small enough to broadcast, whatever the data size.
 MAX_HEAVY_KEYS = 1 << 16
 
+# A join side of up to this many rows of a few bigints is broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 def heavy_limit(total_rows: int, floor: int = HEAVY_FLOOR) -> int:
     """Rows per key beyond which a key is heavy; below it a key fits in a task."""
@@ -31,3 +34,31 @@ def heavy_keys(
     if (top or 0) <= limit:
         return None
     return counts.where(F.col(rows) > limit).select(key)
+
+
+def join_unique(
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    how: str = "inner",
+    heavy_floor: int = HEAVY_FLOOR,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join ``many`` rows per key to ``one``, which has each key once.
+
+    ``how`` is inner, left or left_semi. A side ``one`` of checked small size
+    is broadcast and ``many`` stays in place. Beyond that both are shuffled on
+    the key, except for keys too heavy for one task: there are fewer than 65536
+    of those, so their rows of ``one`` are broadcast to wherever ``many`` lies.
+    """
+    if one.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return many.join(F.broadcast(one), key, how)
+    counts = many.groupBy(key).agg(F.count("*").alias("rows_of_key"))
+    heavy = heavy_keys(counts, key, "rows_of_key", heavy_floor)
+    if heavy is None:
+        return many.join(one, key, how)
+    heavy = F.broadcast(heavy)
+    spread = many.join(heavy, key, "left_anti").join(one, key, how)
+    hot_side = F.broadcast(one.join(heavy, key, "left_semi"))
+    hot = many.join(heavy, key, "left_semi").join(hot_side, key, how)
+    return spread.unionByName(hot)

@@ -69,7 +69,7 @@ def vertex_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order looked up as a vertex; those without lines are absent."""
     orders = views.table(spark, sf_dir, "orders")
     probes = orders.select((F.col("o_orderkey") * 2).alias("vertex_id"))
-    return graph.lookup(_degrees(spark, sf_dir), probes)
+    return graph.lookup(_written_degrees(spark, sf_dir), probes)
 
 
 def vertex_visit(spark: SparkSession, sf_dir: str) -> DataFrame:

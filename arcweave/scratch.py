@@ -2,12 +2,13 @@
 
 Iterative operators cut their lineage by writing tables. The tables live in a
 database of their own below the folder the cluster names in
-``spark.checkpoint.dir``, so they survive the loss of any executor, and one
-``close()`` drops them all.
+``spark.checkpoint.dir``, so they survive the loss of any executor. ``close()``
+drops them all, at the latest when Python exits with the session still open.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -35,9 +36,12 @@ class Scratch:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.name = f"arcweave_{uuid.uuid4().hex[:12]}"
-        self.location = f"{root.rstrip('/') if root else scratch_root(spark)}/{self.name}"
-        quoted = self.location.replace("\\", "\\\\").replace("'", "\\'")
+        location = f"{root.rstrip('/') if root else scratch_root(spark)}/{self.name}"
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"CREATE DATABASE {self.name} LOCATION '{quoted}'")
+        # As the catalog states it: with the scheme of the file system it is on.
+        self.location = spark.catalog.getDatabase(self.name).locationUri.rstrip("/")
+        atexit.register(self._close_at_exit)
 
     def __enter__(self) -> Scratch:
         return self
@@ -71,3 +75,11 @@ class Scratch:
 
     def close(self) -> None:
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.name} CASCADE")
+        atexit.unregister(self._close_at_exit)
+
+    def _close_at_exit(self) -> None:
+        try:
+            if SparkSession.getActiveSession() is not None:
+                self.close()
+        except Exception:  # the session is gone; nothing is left to talk to
+            pass

@@ -3,7 +3,8 @@
 ``spark.read.format("edges_bin")`` cuts each file into record-aligned byte
 ranges, one per task; ``df.write.format("edges_bin")`` writes one file per
 task and publishes them together on commit. A path is a file or a folder of
-``.bin`` files, on any file system Arrow can open.
+``.bin`` files on any file system Arrow can open; without a scheme it is local
+to each machine, so name the scheme of a shared one.
 """
 
 from __future__ import annotations

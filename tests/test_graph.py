@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import brute
 from arcweave.operators import csr, graph, placement
 from arcweave.operators.running import exclusive_running
+from arcweave.operators.skew import heavy_keys, heavy_limit, join_unique
 
 G1 = [(1, 2), (2, 3), (3, 4), (7, 8), (5, 5)]
 
@@ -180,3 +181,26 @@ def test_layouts(spark):
         .count()
     )
     assert homes.agg(F.max("count")).first()[0] == 1
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+@pytest.mark.parametrize("floor", [1 << 20, 30])
+def test_join_to_unique_keys(spark, how, floor):
+    """Shuffled, and with a third of the rows on one key."""
+    rng = random.Random(2)
+    many = [(7, i) for i in range(60)] + [(rng.randrange(30), i) for i in range(120)]
+    one = [(k, k * k) for k in range(0, 20)]
+    left = spark.createDataFrame(many + [(None, -1)], "k bigint, i bigint")
+    right = spark.createDataFrame(one, "k bigint, v bigint")
+    joined = join_unique(left, right, "k", how, heavy_floor=floor, broadcast_rows=5)
+    got = sorted(map(tuple, joined.collect()), key=str)
+    assert got == sorted(map(tuple, left.join(right, "k", how).collect()), key=str)
+
+
+def test_heavy_keys_are_few(spark):
+    counts = spark.createDataFrame([(1, 50), (2, 3), (3, 20)], "k bigint, n bigint")
+    assert sorted(r.k for r in heavy_keys(counts, "k", "n", 10).collect()) == [1, 3]
+    assert heavy_keys(counts, "k", "n", 50) is None
+    assert heavy_keys(counts.limit(0), "k", "n", 50) is None
+    # The limit grows with the data, so that under 65536 keys can pass it.
+    assert heavy_limit(10**13) * (1 << 16) >= 10**13
