@@ -13,8 +13,8 @@ from itertools import count
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arcweave.operators.graph import arcs, vertex_degree
-from arcweave.operators.skew import HEAVY_FLOOR, heavy_limit, join_unique
+from arcweave.operators.graph import arcs
+from arcweave.operators.skew import HEAVY_FLOOR, join_unique, key_table, sampled_heavy_keys
 from arcweave.scratch import Scratch
 
 # Level of a vertex that cannot be reached.
@@ -46,9 +46,10 @@ _LEVELS = "vertex_id bigint, level bigint"
 class Graph:
     """Tables of one undirected graph.
 
-    ``arcs`` holds the distinct arcs of ordinary vertices in hash buckets of
-    ``src``. ``hub_arcs`` holds those of hubs (too many arcs for one bucket),
-    spread evenly and range-sorted by ``src``; None without hubs.
+    ``arcs(src, dst, copies)`` holds the distinct arcs of ordinary vertices in
+    hash buckets of ``src``. ``hub_arcs`` holds those of hubs (too many arcs
+    for one bucket), spread evenly and range-sorted; None without hubs.
+    ``vertices(vertex_id, degree)`` counts every copy.
     """
 
     spark: SparkSession
@@ -65,30 +66,25 @@ def build_graph(
     scratch: Scratch,
     heavy_floor: int = HEAVY_FLOOR,
 ) -> Graph:
-    """Write the vertex table and the arc layout of an edge table ``(src, dst)``.
+    """Write the arc layout and the vertex table of an edge table ``(src, dst)``.
 
-    Two passes over the edges: degrees, then one shuffle of the arcs into their
-    buckets. Copies of an arc do not change levels and are dropped from the
-    layout; degrees count them.
+    A sampling pass finds the hubs; then all other arcs take one shuffle, into
+    their buckets, where copies are counted. Degrees follow from the buckets
+    without another shuffle.
     """
     spark = edges.sparkSession
     all_arcs = arcs(edges)
-    vertices = scratch.save(vertex_degree(all_arcs), "vertices")
-    total, top = vertices.agg(F.sum("degree"), F.max("degree")).first()
-    total, top = total or 0, top or 0
-
-    # Fewer than 65536 vertices can exceed the limit, so the ids fit anywhere.
-    limit = heavy_limit(total, heavy_floor)
-    hub_ids: frozenset[int] = frozenset()
-    hub_arcs = None
-    ordinary = all_arcs
-    if top > limit:
-        hubs = vertices.where(F.col("degree") > limit).select(F.col("vertex_id").alias("src"))
-        hub_ids = frozenset(row.src for row in hubs.collect())
-        ordinary = all_arcs.join(F.broadcast(hubs), "src", "left_anti")
+    hub_ids, total = sampled_heavy_keys(all_arcs, "src", heavy_floor)
+    copies = F.count("*").alias("copies")
+
+    ordinary, hub_arcs = all_arcs, None
+    if hub_ids:
+        hubs = F.broadcast(key_table(spark, "src", hub_ids))
+        ordinary = all_arcs.join(hubs, "src", "left_anti")
         hub_arcs = scratch.save(
-            all_arcs.join(F.broadcast(hubs), "src", "left_semi")
-            .distinct()
+            all_arcs.join(hubs, "src", "left_semi")
+            .groupBy("src", "dst")
+            .agg(copies)
             .repartitionByRange("src", "dst")
             .sortWithinPartitions("src", "dst"),
             "hub_arcs",
@@ -98,14 +94,31 @@ def build_graph(
     buckets = max(total // ARCS_PER_BUCKET, min(cores, total // MIN_ARCS_PER_BUCKET))
     buckets = min(max(buckets, 1), MAX_BUCKETS)
     layout = scratch.save(
-        ordinary.repartition(buckets, "src").dropDuplicates(["src", "dst"]),
+        ordinary.repartition(buckets, "src").groupBy("src", "dst").agg(copies),
         "arcs",
         bucket_by="src",
         buckets=buckets,
     )
+
+    def degrees(table: DataFrame) -> DataFrame:
+        return table.groupBy(F.col("src").alias("vertex_id")).agg(
+            F.sum("copies").alias("degree")
+        )
+
+    vertices = degrees(layout)
+    if hub_arcs is not None:
+        vertices = vertices.unionByName(degrees(hub_arcs))
+    vertices = scratch.save(vertices, "vertices")
     return Graph(spark, scratch, vertices, layout, buckets, hub_arcs, hub_ids)
 
 
+def has_vertex(graph: Graph, vertex_id: int) -> bool:
+    """Whether the vertex exists; looks into one bucket at most."""
+    if vertex_id in graph.hub_ids:
+        return True
+    return bool(graph.arcs.where(F.col("src") == vertex_id).select("src").take(1))
+
+
 @dataclass(frozen=True)
 class Frontier:
     """Vertices of one level: literal ids if few, else a table of known size."""
@@ -151,7 +164,7 @@ def neighbors(graph: Graph, frontier: Frontier) -> DataFrame:
         if len(hubs) <= NARROW:
             from_hubs = graph.hub_arcs.where(F.col("src").isin(list(hubs)))
         else:
-            some = F.broadcast(_id_table(graph.spark, hubs))
+            some = F.broadcast(key_table(graph.spark, "vertex_id", hubs))
             from_hubs = graph.hub_arcs.join(
                 some, F.col("src") == F.col("vertex_id"), "left_semi"
             )
@@ -159,14 +172,10 @@ def neighbors(graph: Graph, frontier: Frontier) -> DataFrame:
     return found
 
 
-def _id_table(spark: SparkSession, ids) -> DataFrame:
-    return spark.createDataFrame(pa.table({"vertex_id": list(ids)}))
-
-
 def _hubs_in(graph: Graph, frontier: Frontier) -> frozenset[int]:
     if not graph.hub_ids:
         return frozenset()
-    hubs = F.broadcast(_id_table(graph.spark, graph.hub_ids))
+    hubs = F.broadcast(key_table(graph.spark, "vertex_id", graph.hub_ids))
     hit = frontier.table.join(hubs, "vertex_id", "left_semi").collect()
     return frozenset(row.vertex_id for row in hit)
 
@@ -269,7 +278,7 @@ def search(graph: Graph, root: int, narrow: int = NARROW) -> Search:
             write(spark.createDataFrame(pa.table({"vertex_id": ids, "level": depths})))
             pending.clear()
 
-    if not graph.vertices.where(F.col("vertex_id") == root).take(1):
+    if not has_vertex(graph, root):
         return Search(graph, root, initial_state(graph.vertices.limit(0)))
 
     pending.append((root, 0))

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Ids are cut into blocks of 2**20 neighbouring values, and those blocks into
-# super-blocks of 2**20 blocks.
-BLOCK_BITS = 20
+# Ids are cut into blocks of 2**16 neighbouring values, and those blocks into
+# super-blocks of 2**24 blocks.
+BLOCK_BITS = 16
+SUPER_BITS = 24
 
 _FOLDS = {"sum": F.sum, "max": F.max}
 
@@ -25,10 +26,9 @@ def exclusive_running(
 
     ``order`` must be a bigint column, unique within each ``by`` group. An
     unpartitioned window would sort everything in one task, so the rows are
-    first folded inside blocks of 2**20 ids, the block totals inside
-    super-blocks, and only the super-block totals (at most 2**24 per group,
-    however large the ids) in one window. Every window group is thus bounded
-    by the width of an id block, not by the data.
+    first folded inside blocks of 2**16 ids, the block totals inside
+    super-blocks, and only the super-block totals in one window. Ids have 64
+    bits, so no window group outgrows 2**24 rows, however large the data.
 
     ``fold`` is "sum" (starting at 0) or "max" (starting at null).
     """
@@ -50,7 +50,7 @@ def exclusive_running(
     blocks = (
         rows.groupBy(*by, block)
         .agg(combine(value).alias("__total"))
-        .withColumn(upper, F.shiftright(block, BLOCK_BITS))
+        .withColumn(upper, F.shiftright(block, SUPER_BITS))
     )
     supers = blocks.groupBy(*by, upper).agg(combine("__total").alias("__total"))
 

@@ -1,16 +1,25 @@
-"""Handling of keys that hold a large part of all rows."""
+"""Handling of keys that hold a large part of all rows.
+
+A key is heavy beyond ``heavy_limit`` rows: too many for one task. The limit
+grows with the data, so there are always few enough heavy keys to broadcast.
+Treating a key as heavy or not changes where its rows go, never the result.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows a single key may hold before it is treated apart, on small inputs.
 HEAVY_FLOOR = 1 << 20
 
-# Fewer than this many keys can each hold more than 1/65536 of all rows, so the
-# set of heavy keys is always small enough to broadcast, whatever the data size.
+# Fewer than this many keys can each hold more than 1/65536 of all rows.
 MAX_HEAVY_KEYS = 1 << 16
 
+# Rows of a just heavy key that a sample should contain.
+SAMPLED_ROWS_PER_KEY = 1_000
+
 # A join side of up to this many rows of a few bigints is broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -23,7 +32,7 @@ def heavy_limit(total_rows: int, floor: int = HEAVY_FLOOR) -> int:
 def heavy_keys(
     counts: DataFrame, key: str, rows: str, floor: int = HEAVY_FLOOR
 ) -> DataFrame | None:
-    """Keys too large for one task, from a table with one row count per key.
+    """Heavy keys of a table that holds one row count per key.
 
     Runs one small aggregation. Returns None when no key is heavy, which lets
     the caller keep the plain single-shuffle plan; otherwise a one-column table
@@ -36,6 +45,38 @@ def heavy_keys(
     return counts.where(F.col(rows) > limit).select(key)
 
 
+def sampled_heavy_keys(
+    df: DataFrame, key: str, floor: int = HEAVY_FLOOR
+) -> tuple[frozenset[int], int]:
+    """Heavy bigint keys of any table, found in a sample, and its estimated rows.
+
+    For planning only. One pass over ``key``, of which a thousandth or less is
+    shuffled. Keys with half the limit in the sample count as heavy, so a truly
+    heavy one is practically never missed, and at most twice
+    ``MAX_HEAVY_KEYS`` can qualify.
+    """
+    fraction = min(1.0, SAMPLED_ROWS_PER_KEY / floor)
+    rows = df.select(F.col(key).alias("key")).where("key is not null")
+    if fraction < 1.0:
+        rows = rows.sample(fraction, seed=1)
+    counts = rows.groupBy("key").agg(F.count("*").alias("n"))
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sampled, top = counts.agg(F.sum("n"), F.max("n")).first()
+        total = int((sampled or 0) / fraction)
+        enough = max(1.0, heavy_limit(total, floor) * fraction / 2)
+        if (top or 0) <= enough:
+            return frozenset(), total
+        return frozenset(r.key for r in counts.where(F.col("n") > enough).collect()), total
+    finally:
+        counts.unpersist()
+
+
+def key_table(spark: SparkSession, name: str, keys) -> DataFrame:
+    """A short list of ids as a table."""
+    return spark.createDataFrame(pa.table({name: pa.array(list(keys), pa.int64())}))
+
+
 def join_unique(
     many: DataFrame,
     one: DataFrame,
@@ -44,20 +85,19 @@ def join_unique(
     heavy_floor: int = HEAVY_FLOOR,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join ``many`` rows per key to ``one``, which has each key once.
+    """Join ``many`` rows per bigint key to ``one``, which has each key once.
 
     ``how`` is inner, left or left_semi. A side ``one`` of checked small size
     is broadcast and ``many`` stays in place. Beyond that both are shuffled on
-    the key, except for keys too heavy for one task: there are fewer than 65536
-    of those, so their rows of ``one`` are broadcast to wherever ``many`` lies.
+    the key, except for heavy keys: their few rows of ``one`` are broadcast to
+    wherever ``many`` lies.
     """
     if one.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return many.join(F.broadcast(one), key, how)
-    counts = many.groupBy(key).agg(F.count("*").alias("rows_of_key"))
-    heavy = heavy_keys(counts, key, "rows_of_key", heavy_floor)
-    if heavy is None:
+    found, _ = sampled_heavy_keys(many, key, heavy_floor)
+    if not found:
         return many.join(one, key, how)
-    heavy = F.broadcast(heavy)
+    heavy = F.broadcast(key_table(many.sparkSession, key, found))
     spread = many.join(heavy, key, "left_anti").join(one, key, how)
     hot_side = F.broadcast(one.join(heavy, key, "left_semi"))
     hot = many.join(heavy, key, "left_semi").join(hot_side, key, how)

@@ -91,7 +91,7 @@ def test_many_hubs_in_one_frontier(spark, scratch, monkeypatch):
     monkeypatch.setattr(bfs, "NARROW", 2)
     edges = [(0, h) for h in range(1, 9)] + [(h, h * 100 + i) for h in range(1, 9) for i in range(20)]
     built = bfs.build_graph(edges_df(spark, edges), scratch, heavy_floor=10)
-    assert built.hub_ids == frozenset(range(1, 9))
+    assert built.hub_ids == frozenset(range(9))
     assert found_levels(bfs.search(built, 0).levels()) == brute.levels(edges, 0)
 
 
@@ -194,3 +194,16 @@ def test_random_graphs(spark, scratch, edges, root):
         assert abs(levels[a] - levels[b]) <= 1
     sizes = result.level_sizes().agg(F.sum("vertices")).first()[0] or 0
     assert sizes == sum(1 for v in levels.values() if v != -1)
+
+
+def test_degrees_need_no_shuffle_of_their_own(spark, scratch, monkeypatch):
+    monkeypatch.setattr(bfs, "MIN_ARCS_PER_BUCKET", 50)
+    built = bfs.build_graph(edges_df(spark, skewed_edges()), scratch)
+    assert built.buckets > 1
+    degrees = built.arcs.groupBy("src").agg(F.sum("copies"))
+    assert "Exchange" not in degrees._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for a, _ in brute.both_ways(skewed_edges()):
+        want[a] = want.get(a, 0) + 1
+    assert {r.vertex_id: r.degree for r in built.vertices.collect()} == want
+    assert bfs.has_vertex(built, 0) and not bfs.has_vertex(built, 950)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import brute
 from arcweave.operators import csr, graph, placement
 from arcweave.operators.running import exclusive_running
-from arcweave.operators.skew import heavy_keys, heavy_limit, join_unique
+from arcweave.operators.skew import heavy_keys, heavy_limit, join_unique, sampled_heavy_keys
 
 G1 = [(1, 2), (2, 3), (3, 4), (7, 8), (5, 5)]
 
@@ -197,10 +197,23 @@ def test_join_to_unique_keys(spark, how, floor):
     assert got == sorted(map(tuple, left.join(right, "k", how).collect()), key=str)
 
 
+def test_heavy_keys_are_found_in_a_sample(spark):
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+    found, total = sampled_heavy_keys(spark.range(600_000).select(key.alias("k")), "k", 100_000)
+    assert found == frozenset({7})
+    assert 500_000 < total < 700_000
+
+
 def test_heavy_keys_are_few(spark):
     counts = spark.createDataFrame([(1, 50), (2, 3), (3, 20)], "k bigint, n bigint")
     assert sorted(r.k for r in heavy_keys(counts, "k", "n", 10).collect()) == [1, 3]
     assert heavy_keys(counts, "k", "n", 50) is None
     assert heavy_keys(counts.limit(0), "k", "n", 50) is None
+    rows = spark.createDataFrame(
+        [(1,)] * 50 + [(2,)] * 3 + [(3,)] * 20 + [(None,)] * 90, "k bigint"
+    )
+    assert sampled_heavy_keys(rows, "k", 30) == (frozenset({1, 3}), 73)
+    assert sampled_heavy_keys(rows, "k", 100) == (frozenset(), 73)
+    assert sampled_heavy_keys(rows.limit(0), "k") == (frozenset(), 0)
     # The limit grows with the data, so that under 65536 keys can pass it.
     assert heavy_limit(10**13) * (1 << 16) >= 10**13
