@@ -30,6 +30,10 @@ MAX_BUCKETS = 100_000
 # buckets and Parquet pages; its successors come back to the driver.
 NARROW = 256
 
+# A frontier of up to this many ids touches so few buckets that its neighbours
+# are fetched as they are, in one stage.
+HANDFUL = 4
+
 # A frontier of up to this many rows (8 bytes each) is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -191,6 +195,25 @@ def without(candidates: DataFrame, *seen: Frontier) -> DataFrame:
     return candidates
 
 
+def fresh_ids(
+    graph: Graph, newest: Frontier, seen: list[Frontier], most: int
+) -> list[int] | None:
+    """The level after a narrow one as ids, or None if it may exceed ``most``.
+
+    Fetches a bounded number of rows, whatever the degrees.
+    """
+    found = neighbors(graph, newest)
+    if newest.rows <= HANDFUL and all(f.ids is not None for f in seen):
+        rows = found.limit(HANDFUL * most + 1).collect()
+        if len(rows) > HANDFUL * most:
+            return None
+        fresh = {r.vertex_id for r in rows}.difference(*(f.ids for f in seen))
+    else:
+        rows = without(found.distinct(), *seen).limit(most + 1).collect()
+        fresh = {r.vertex_id for r in rows}
+    return sorted(fresh) if len(fresh) <= most else None
+
+
 @dataclass(frozen=True)
 class Search:
     """The outcome of one search: who was reached, and at which level."""
@@ -286,18 +309,18 @@ def search(graph: Graph, root: int, narrow: int = NARROW) -> Search:
     newest = Frontier(1, ids=(root,))
     for level in count(1):
         seen = [newest] if before is None else [newest, before]
-        # Dedupe first: broadcast sides still move below it, large ones stay above.
-        fresh = without(neighbors(graph, newest).distinct(), *seen)
         if newest.ids is not None:
-            some = [r.vertex_id for r in fresh.limit(narrow + 1).collect()]
-            if not some:
-                break
-            if len(some) <= narrow:
-                before, newest = newest, Frontier(len(some), ids=tuple(some))
-                pending.extend((i, level) for i in some)
+            ids = fresh_ids(graph, newest, seen, narrow)
+            if ids is not None:
+                if not ids:
+                    break
+                before, newest = newest, Frontier(len(ids), ids=tuple(ids))
+                pending.extend((i, level) for i in ids)
                 if len(pending) > PENDING_ROWS:
                     flush()
                 continue
+        # Dedupe first: broadcast sides still move below it, large ones stay above.
+        fresh = without(neighbors(graph, newest).distinct(), *seen)
         table = write(fresh.withColumn("level", F.lit(level).cast("bigint")))
         found = frontier_of(table.select("vertex_id"), narrow)
         if found.rows == 0:
