@@ -109,7 +109,7 @@ def test_narrow_levels_are_flushed(spark, scratch, monkeypatch):
 
 def test_expansion_never_shuffles_the_arcs(spark, scratch, monkeypatch):
     monkeypatch.setattr(bfs, "MIN_ARCS_PER_BUCKET", 50)
-    built = bfs.build_graph(edges_df(spark, skewed_edges()), scratch)
+    built = bfs.build_graph(edges_df(spark, skewed_edges()), scratch, heavy_floor=1000)
     assert built.buckets > 1
     wide = scratch.save(built.vertices.select("vertex_id"), "wide")
 
@@ -198,7 +198,7 @@ def test_random_graphs(spark, scratch, edges, root):
 
 def test_degrees_need_no_shuffle_of_their_own(spark, scratch, monkeypatch):
     monkeypatch.setattr(bfs, "MIN_ARCS_PER_BUCKET", 50)
-    built = bfs.build_graph(edges_df(spark, skewed_edges()), scratch)
+    built = bfs.build_graph(edges_df(spark, skewed_edges()), scratch, heavy_floor=1000)
     assert built.buckets > 1
     degrees = built.arcs.groupBy("src").agg(F.sum("copies"))
     assert "Exchange" not in degrees._jdf.queryExecution().executedPlan().toString()
