@@ -20,11 +20,10 @@ from arcweave.scratch import Scratch
 # Level of a vertex that cannot be reached.
 UNREACHED = -1
 
-# Layout: about this many arcs per bucket, and no more buckets than Spark allows
-# by default. Small graphs still get one bucket per core of this many arcs.
+# Layout: about this many arcs per bucket, as far as Spark's own limit on buckets
+# allows. Smaller graphs get a bucket per core of at least the second number.
 ARCS_PER_BUCKET = 1 << 22
 MIN_ARCS_PER_BUCKET = 1 << 17
-MAX_BUCKETS = 100_000
 
 # A frontier of up to this many ids is looked up by literal ids, which prunes
 # buckets and Parquet pages; its successors come back to the driver.
@@ -96,7 +95,8 @@ def build_graph(
 
     cores = spark.sparkContext.defaultParallelism
     buckets = max(total // ARCS_PER_BUCKET, min(cores, total // MIN_ARCS_PER_BUCKET))
-    buckets = min(max(buckets, 1), MAX_BUCKETS)
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    buckets = min(max(buckets, 1), most)
     layout = scratch.save(
         ordinary.repartition(buckets, "src").groupBy("src", "dst").agg(copies),
         "arcs",
@@ -358,6 +358,7 @@ def search_by_scan(graph: Graph, root: int) -> DataFrame:
                 .alias("level"),
             ),
             "state",
+            replaces=state,
         )
 
 

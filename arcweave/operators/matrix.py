@@ -133,7 +133,7 @@ def matvec_broadcast(matrix: DataFrame, vector: DataFrame) -> DataFrame:
 
     Raises if the vector is too large for that; ``matvec`` chooses by itself.
     """
-    if vector.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+    if vector.count() > BROADCAST_ROWS:
         raise ValueError(f"a vector of over {BROADCAST_ROWS} rows is not broadcast: use matvec")
     return matvec(matrix, vector)
 
@@ -143,9 +143,11 @@ def vector_array(vector: DataFrame, n_cols: int | None = None) -> DataFrame:
 
     With ``n_cols`` the indices must be exactly 0 to ``n_cols`` - 1.
     """
-    rows = vector.limit(DENSE_WIDTH + 1).count()
+    rows = vector.count()
     if rows > DENSE_WIDTH:
-        raise ValueError(f"a dense vector has at most {DENSE_WIDTH} elements")
+        raise ValueError(
+            f"a dense vector has at most {DENSE_WIDTH} elements: use to_coo and matvec"
+        )
     if n_cols is not None and rows != n_cols:
         raise ValueError(f"the vector has {rows} elements, expected {n_cols}")
     ordered = F.array_sort(F.collect_list(F.struct("idx", "value")))

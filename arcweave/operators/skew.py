@@ -92,7 +92,7 @@ def join_unique(
     the key, except for heavy keys: their few rows of ``one`` are broadcast to
     wherever ``many`` lies.
     """
-    if one.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if one.count() <= broadcast_rows:
         return many.join(F.broadcast(one), key, how)
     found, _ = sampled_heavy_keys(many, key, heavy_floor)
     if not found:

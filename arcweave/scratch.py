@@ -35,6 +35,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
+        self._tables: dict[int, tuple[str, DataFrame]] = {}
         self.name = f"arcweave_{uuid.uuid4().hex[:12]}"
         location = f"{root.rstrip('/') if root else scratch_root(spark)}/{self.name}"
         quoted = location.replace("\\", "\\\\").replace("'", "\\'")
@@ -59,19 +60,25 @@ class Scratch:
         label: str,
         bucket_by: str | None = None,
         buckets: int = 0,
+        replaces: DataFrame | None = None,
     ) -> DataFrame:
         """Write ``df`` as a managed Parquet table and return the table.
 
         With ``bucket_by`` the rows are laid out in ``buckets`` hash buckets,
         sorted on that column; a caller that has already repartitioned on it
-        gets exactly one file per bucket.
+        gets exactly one file per bucket. ``replaces`` names a table saved
+        before, possibly read by ``df``, that is dropped afterwards.
         """
         table = f"{self.name}.{label}_{uuid.uuid4().hex[:8]}"
         writer = df.write.format("parquet")
         if bucket_by is not None:
             writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
         writer.saveAsTable(table)
-        return self.spark.table(table)
+        if replaces is not None:
+            self.spark.sql(f"DROP TABLE {self._tables.pop(id(replaces))[0]}")
+        saved = self.spark.table(table)
+        self._tables[id(saved)] = (table, saved)
+        return saved
 
     def close(self) -> None:
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.name} CASCADE")

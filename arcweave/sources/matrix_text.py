@@ -42,7 +42,7 @@ def numbered_cells(spark: SparkSession, path: str, scratch: Scratch) -> DataFram
         "first_tick",
         F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint")).alias("lines_before"),
     )
-    if splits.limit(BROADCAST_SPLITS + 1).count() <= BROADCAST_SPLITS:
+    if splits.count() <= BROADCAST_SPLITS:
         starts = F.broadcast(starts)
     line_no = F.col("lines_before") + F.col("tick") - F.col("first_tick")
     return lines.join(starts, ["file", "start"]).select(line_no.alias("line_no"), "cells")

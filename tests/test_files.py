@@ -204,3 +204,10 @@ def test_scratch_root_is_the_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(session({}))
     assert "arcweave-" in scratch_root(session({}, master="local[2]"))
+
+
+def test_replaced_tables_are_dropped(spark, scratch):
+    first = scratch.save(spark.range(5), "state")
+    second = scratch.save(first.selectExpr("id + 1 AS id"), "state", replaces=first)
+    assert sorted(r.id for r in second.collect()) == [1, 2, 3, 4, 5]
+    assert len(spark.catalog.listTables(scratch.name)) == 1
