@@ -12,9 +12,10 @@ from arcweave.operators.skew import HEAVY_FLOOR
 def row_offsets(degrees: DataFrame, densify: bool = False) -> DataFrame:
     """``(vertex_id, row_offset, degree)``: where each vertex's arcs begin.
 
-    ``degrees`` is the vertex table. Ids must not be negative. With ``densify`` every id from 0 to the largest
-    has a row (ids of gaps repeat the running offset) and one last row, at the
-    largest id + 1, holds the total; its size follows the largest id.
+    ``degrees`` is the vertex table. Ids must not be negative. With ``densify``
+    every id from 0 to the largest has a row (ids of gaps repeat the running
+    offset) and one last row, at the largest id + 1, holds the total; its size
+    follows the largest id.
     """
     degrees = degrees.withColumn(
         "degree",

@@ -87,8 +87,8 @@ def ranked_arcs(
     """Number the arcs of each vertex 0, 1, 2, ... by ascending ``dst``.
 
     ``degrees`` is the vertex table of the same arcs; its maximum is read at
-    once. Returns ``(ordinary, hub, hubs)``. Ordinary vertices are ranked by a window
-    per vertex. Hubs, whose arcs would not fit in one task, are first reduced
+    once. Returns ``(ordinary, hub, hubs)``. Ordinary vertices are ranked by a
+    window per vertex. Hubs, whose arcs would not fit in one task, are first reduced
     to counted ``(src, dst)`` pairs, ranked by blocked running totals, and
     expanded again in bounded pieces. Without hubs the last two are None.
     """
