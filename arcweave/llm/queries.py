@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arcweave.llm import chat_format, quality_rules, warc
+from arcweave.llm import chat_format, decontaminate, jaccard_join, quality_rules, secrets, warc
 from arcweave.scratch import Scratch
 
 
@@ -13,6 +13,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's group of near duplicates and its number of links."""
+    return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's words inside benchmark windows, and the items they come from."""
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Scratch(spark))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda item: item.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation, and conversation -1, formatted, written and read back."""
     scratch = Scratch(spark)
@@ -56,6 +75,19 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in each document: the fixed patterns and the token-efficiency test."""
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.col("scan_n_assign").alias("n_assign"),
+        F.col("scan_n_access").alias("n_access"),
+        F.col("scan_n_hex").alias("n_hex"),
+        F.col("scan_base_sha256").alias("base_sha256"),
+        F.col("scan_spans").alias("spans"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of each text, the fixed rules, and the learned list's verdict."""
     scratch = Scratch(spark)
@@ -76,7 +108,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
+    "op3_decontamination": op3_decontamination,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_warc": op6_warc,
+    "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
