@@ -85,24 +85,26 @@ def best_paths(nodes: DataFrame, scratch: Scratch, per_tree: int = 1) -> DataFra
         F.lit(1).cast("long").alias("depth"),
         "score",
     )
+    # Rows that have met their root stay as they are; later rounds join the rest only.
+    whole = hops = scratch.save(hops, "hops")
     rounds = []
     most = max(1, here.count()).bit_length() + 1
-    while True:
-        hops = scratch.save(hops, "hops")
-        rounds.append(hops)
-        if len(rounds) > most or hops.where(F.col("up").isNotNull()).isEmpty():
+    while len(rounds) < most:
+        going = hops.where(F.col("up").isNotNull())
+        if going.isEmpty():
             break
-        above = hops.select(
+        rounds.append(going)
+        above = whole.select(
             "tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("score").alias("above")
         )
-        hops = hops.join(above, ["tree", "up"], "left").select(
-            "tree",
-            "node",
-            F.col("next").alias("up"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce("above", F.lit(0.0))).alias("score"),
+        hops = scratch.save(
+            going.join(above, ["tree", "up"]).select(
+                "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("score") + F.col("above")).alias("score")
+            ),
+            "hops",
         )
-    rooted = rounds[-1].where(F.col("up").isNull())
+        whole = whole.where(F.col("up").isNull()).unionByName(hops)
+    rooted = whole.where(F.col("up").isNull())
     inner = here.select("tree", F.col("parent").alias("node")).where(F.col("node").isNotNull()).distinct()
     order = [F.desc("score"), F.desc("depth"), F.asc("node")]
     leaves = (
@@ -111,8 +113,8 @@ def best_paths(nodes: DataFrame, scratch: Scratch, per_tree: int = 1) -> DataFra
         .where(F.col("rank") <= per_tree)
     )
     path = leaves.select("tree", F.col("node").alias("leaf"), "rank", "node")
-    for hop in rounds[:-1]:
-        up = path.join(hop.select("tree", "node", "up"), ["tree", "node"]).where(F.col("up").isNotNull())
+    for hop in rounds:
+        up = path.join(hop.select("tree", "node", "up"), ["tree", "node"])
         path = scratch.save(path.unionByName(up.select("tree", "leaf", "rank", F.col("up").alias("node"))), "path")
     return path.join(rooted.select("tree", "node", "depth"), ["tree", "node"])
 
