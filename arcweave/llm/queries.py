@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arcweave.llm import chat_format, decontaminate, jaccard_join, quality_rules, secrets, warc
+from arcweave.llm import chat_format, decontaminate, jaccard_join, packing, quality_rules, secrets, token_files, warc
 from arcweave.scratch import Scratch
 
 
@@ -18,6 +18,14 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written in coded blocks and read back from them."""
+    scratch = Scratch(spark)
+    blocks = token_files.write_token_files(_table(spark, sf_dir, "documents"), scratch)
+    found = scratch.save(token_files.digests(blocks), "digests")
+    return token_files.with_starts(found).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's words inside benchmark windows, and the items they come from."""
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Scratch(spark))
@@ -32,6 +40,15 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of at most 2048 tokens."""
+    scratch = Scratch(spark)
+    pieces = scratch.save(packing.pieces(_table(spark, sf_dir, "documents")), "pieces")
+    return packing.pack(pieces, scratch).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation, and conversation -1, formatted, written and read back."""
     scratch = Scratch(spark)
@@ -109,7 +126,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_token_files": op2_token_files,
     "op3_decontamination": op3_decontamination,
+    "op4_packing": op4_packing,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_warc": op6_warc,
     "op9_secret_scan": op9_secret_scan,

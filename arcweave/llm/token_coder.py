@@ -147,7 +147,7 @@ class Model:
 
 
 def _lanes_of(n: int) -> int:
-    return max(1, min(LANES, n // 64))
+    return max(1, min(LANES, n // 256))
 
 
 def _leb128(values: np.ndarray) -> bytes:

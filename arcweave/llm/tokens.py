@@ -17,6 +17,8 @@ import numpy as np
 
 #: Parts remembered in each of two generations; about 100 bytes each.
 REMEMBERED = 400_000
+#: New parts encoded in one call.
+TOGETHER = 128
 
 
 class Encoder:
@@ -39,7 +41,7 @@ class Encoder:
     def _parts(self, text: str) -> list[str]:
         """The text cut where no piece can reach across."""
         if not self._keeps_space:
-            return text.split(" ")
+            return text.replace("\n", " ").split(" ")
         parts = text.split(" ")
         # " x" is a part of its own if neither side of its space is white space.
         # Empty parts and other white space at an edge mean that it may not be.
@@ -49,7 +51,40 @@ class Encoder:
                 out.append(" " + part)
             else:
                 out[-1] += " " + part
-        return out
+        if "\n" not in text:
+            return out
+        # The same holds for a line end, which is a piece of its own there.
+        cut = []
+        for part in out:
+            if "\n" in part:
+                lines = part.split("\n")
+                sound = all(lines) and not any(x[-1].isspace() for x in lines[:-1]) and not any(x[0].isspace() for x in lines[1:])
+                if sound:
+                    cut.append(lines[0])
+                    for line in lines[1:]:
+                        cut += ("\n", line)
+                    continue
+            cut.append(part)
+        return cut
+
+    def _is_plain(self, part: str) -> bool:
+        """Is it one run of other characters, that can be encoded next to others?"""
+        word = part[1:] if self._keeps_space and part[:1] == " " else part
+        return word.split() == [word]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        """The ids of each of some plain parts, encoded as one text of lines and told apart by where they start."""
+        found = self._library.encode("\n".join(parts), add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        starts = np.array([start for start, _ in found.offsets], np.int64)
+        ends = np.cumsum([len(part) + 1 for part in parts])
+        cuts = np.searchsorted(starts, ends - 1).tolist()
+        # A byte-level vocabulary has one id for the line end itself.
+        ahead = [0, *(cut + self._keeps_space for cut in cuts[:-1])]
+        return [ids[a:b].tobytes() for a, b in zip(ahead, cuts, strict=True)]
 
     def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
@@ -64,12 +99,11 @@ class Encoder:
                         unknown[part] = None
                     else:
                         recent[part] = ids
-        if unknown:
-            strings = list(unknown)
-            for at in range(0, len(strings), 2048):
-                some = strings[at : at + 2048]
-                for part, found in zip(some, self._library.encode_batch(some, add_special_tokens=False), strict=True):
-                    recent[part] = np.array(found.ids, np.uint32).tobytes()
+        plain = [part for part in unknown if self._is_plain(part)]
+        for at in range(0, len(plain), TOGETHER):
+            recent.update(zip(plain[at : at + TOGETHER], self._together(plain[at : at + TOGETHER]), strict=True))
+        for part in unknown.keys() - set(plain):
+            recent[part] = self._ids(part).tobytes()
         out = [np.frombuffer(b"".join(map(recent.__getitem__, parts)), np.uint32) for parts in cut]
         if len(recent) > REMEMBERED:
             self._older, self._recent = recent, {}
