@@ -184,7 +184,14 @@ def jaccard_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> Data
         .select("band", "hash", "a"),
         "heads",
     )
-    near = bands.join(heads, ["band", "hash"]).select("a", F.col("class").alias("b")).distinct()
+    # Each class is linked to the least head of its buckets, and that to its other heads: in a
+    # large group of near copies the heads repeat, so there are few links more than classes.
+    near = scratch.save(
+        bands.join(heads, ["band", "hash"]).groupBy("class").agg(F.array_sort(F.collect_set("a")).alias("heads")), "near"
+    )
+    near = near.select(F.col("heads")[0].alias("a"), F.col("class").alias("b")).unionByName(
+        near.select(F.col("heads")[0].alias("a"), F.explode(F.slice("heads", 2, BANDS)).alias("b")).distinct()
+    )
     clusters = scratch.save(components(near, scratch).withColumnsRenamed({"node": "class", "root": "cluster"}), "clusters")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     members = scratch.save(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arcweave.llm import chat_format, decontaminate, jaccard_join, packing, quality_rules, secrets, token_files, warc
+from arcweave.llm import chat_format, decontaminate, html_text, jaccard_join, packing, quality_rules, secrets, token_files, toxicity, warc
 from arcweave.scratch import Scratch
 
 
@@ -92,6 +92,32 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's toxicity by a classifier fitted on four fifths of the labels."""
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    weights = toxicity.fit(docs, labels, Scratch(spark))
+    return toxicity.score(docs, weights).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        F.col("toxicity_score").alias("score"),
+        (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    found = html_text.extract(_table(spark, sf_dir, "pages"), Scratch(spark))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of corpus_pipeline, one after the other."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in each document: the fixed patterns and the token-efficiency test."""
     found = secrets.scan(_table(spark, sf_dir, "documents"))
@@ -131,6 +157,9 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_warc": op6_warc,
+    "op7_toxicity": op7_toxicity,
+    "op8_html_text": op8_html_text,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
