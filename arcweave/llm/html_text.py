@@ -16,9 +16,11 @@ sidebars, notices, adverts, forms or comments by tag, role, class or id are not,
 and on a page with an article nothing outside it is. The tree decides
 the rest, that is the pages that do not mark their article.
 
-Statistics are sums of pre-aggregated narrow rows; a host with a third of
-all pages is spread over its paths and texts. Page texts are never shuffled,
-except those of pages that the tree decides.
+Pages are parsed twice, for statistics and for their text, so that no text is
+stored in between. Statistics are sums of narrow rows counted within each page
+and combined before the shuffle; a host with a third of all pages is spread over
+its paths and texts. Texts are shuffled only if the pages with branches to
+remove are too many to broadcast.
 
 Defined results: null html is empty and has the text ""; a null or odd url
 belongs to the host ""; rows repeated are extracted each, and count as
@@ -30,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,6 +44,8 @@ from arcweave.scratch import Scratch
 
 LEAST = 0.3
 GAMMA = 0.9
+#: Pages with branches to remove are broadcast up to this many (of about 100 bytes).
+BROADCAST_PAGES = 100_000
 DEEPEST = 32
 
 _TOKEN = re.compile(
@@ -201,49 +206,67 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-_PARSED = (
-    "text string, blocks array<struct<text: string, prior: int, branch: array<long>>>, "
-    "elements array<struct<path: long, style: long>>, leaves array<struct<branch: array<long>, content: long>>"
-)
+class _Paths:
+    """Hashes of paths, most of which repeat from page to page."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
 
+    def __getitem__(self, path: str) -> int:
+        if path not in self.known:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            self.known[path] = _hash(path)
+        return self.known[path]
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, blocks, elements, leaves): the text if the markup decides, else the blocks."""
-    branch = pa.list_(pa.int64())
-    types = [
-        pa.string(),
-        pa.list_(pa.struct([("text", pa.string()), ("prior", pa.int32()), ("branch", branch)])),
-        pa.list_(pa.struct([("path", pa.int64()), ("style", pa.int64())])),
-        pa.list_(pa.struct([("branch", branch), ("content", pa.int64())])),
-    ]
 
-    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+def _statistics(pages: DataFrame) -> DataFrame:
+    """(key, host, elements, leaves, open) of rows (key, host, html), counted within each page.
 
-        def path_hash(path: str) -> int:
-            if path not in known:
-                if len(known) > 100_000:
-                    known.clear()
-                known[path] = _hash(path)
-            return known[path]
+    ``open`` are the paths of the blocks that the markup does not decide.
+    """
+    counted = pa.list_(pa.struct([("path", pa.int64()), ("what", pa.int64()), ("n", pa.int32())]))
 
+    def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths = _Paths()
         for batch in slices(batches, "html"):
             rows = []
             for page in column(batch, "html").to_pylist():
                 blocks, elements = parse(page or "")
-                branches = [[path_hash(p) for p in path] for _, _, path in blocks]
-                open_ = any(prior is None for _, prior, _ in blocks)
-                text = None if open_ else "\n\n".join(t for t, prior, _ in blocks if prior)
-                found = [{"text": t, "prior": p, "branch": b} for (t, p, _), b in zip(blocks, branches, strict=True)] if open_ else None
-                styles = [{"path": path_hash(p), "style": path_hash(s)} for p, s in elements]
-                leaves = [{"branch": b, "content": _hash(t)} for (t, _, _), b in zip(blocks, branches, strict=True)]
-                rows.append((text, found, styles, leaves))
-            arrays = [column(batch, "page_id"), column(batch, "url")]
-            arrays += [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "text", "blocks", "elements", "leaves"])
+                shapes = Counter((paths[p], _hash(s)) for p, s in elements)
+                leaves = Counter((paths[p], h) for t, _, branch in blocks for h in (_hash(t),) for p in set(branch))
+                open_ = sorted({paths[p] for _, prior, branch in blocks if prior is None for p in branch})
+                rows.append(([(*k, n) for k, n in shapes.items()], [(*k, n) for k, n in leaves.items()], open_))
+            columns = list(zip(*rows, strict=True))
+            arrays = [column(batch, "key"), column(batch, "host")]
+            for found in columns[:2]:
+                arrays.append(pa.array([[dict(zip(("path", "what", "n"), x, strict=True)) for x in row] for row in found], counted))
+            arrays.append(pa.array(columns[2], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "host", "elements", "leaves", "open"])
+
+    cells = "array<struct<path: long, what: long, n: int>>"
+    return pages.select("key", "host", "html").mapInArrow(statistics, f"key binary, host long, elements {cells}, leaves {cells}, open array<long>")
+
+
+def _blocks(pages: DataFrame) -> DataFrame:
+    """(page_id, url, key, text, blocks): the text if the markup decides, else the blocks."""
+    block = pa.list_(pa.struct([("text", pa.string()), ("prior", pa.int32()), ("branch", pa.list_(pa.int64()))]))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths = _Paths()
+        for batch in slices(batches, "html"):
+            texts, found = [], []
+            for page in column(batch, "html").to_pylist():
+                parsed, _ = parse(page or "")
+                open_ = any(prior is None for _, prior, _ in parsed)
+                texts.append(None if open_ else "\n\n".join(t for t, prior, _ in parsed if prior))
+                found.append([{"text": t, "prior": p, "branch": [paths[x] for x in b]} for t, p, b in parsed] if open_ else None)
+            arrays = [*(column(batch, n) for n in ("page_id", "url", "key")), pa.array(texts, pa.string()), pa.array(found, block)]
+            yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "key", "text", "blocks"])
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in pages.dtypes if n in ("page_id", "url"))
-    return pages.select("page_id", "url", "html").mapInArrow(parsed, f"{fields}, {_PARSED}")
+    types = dict(pages.dtypes)
+    fields = f"page_id {types['page_id']}, url {types['url']}, key binary, text string"
+    return pages.mapInArrow(blocks, f"{fields}, blocks array<struct<text: string, prior: int, branch: array<long>>>")
 
 
 def _entropy(total: str, weighted: str, pages: str):
@@ -252,37 +275,37 @@ def _entropy(total: str, weighted: str, pages: str):
     return F.when(F.col(pages) > 1, F.greatest(F.lit(0.0), spread / F.log(pages))).otherwise(F.lit(0.0))
 
 
-def importance(parsed: DataFrame, scratch: Scratch) -> DataFrame:
+def importance(statistics: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, path, importance) of every node of every host's tree.
 
-    ``parsed`` has row, host, elements and leaves.
+    ``statistics`` has host, elements and leaves, counted within each page.
     """
-    nodes = parsed.select("host", "row", F.inline("elements"))
-    once = nodes.groupBy("host", "path", "style", "row").agg(F.count("*").alias("n"))
-    styles = once.groupBy("host", "path", "style").agg(F.sum("n").alias("n"))
-    seen = once.groupBy("host", "path", "row").agg(F.lit(1)).groupBy("host", "path").agg(F.count("*").alias("pages"))
-    shape = styles.groupBy("host", "path").agg(
-        F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("weighted"), F.count("*").alias("styles")
+    n = F.col("n").cast("double")
+    spread = F.sum(n).alias("total"), F.sum(n * F.log(n)).alias("weighted")
+    shapes = statistics.select("host", F.inline("elements")).groupBy("host", "path", "what").agg(*spread)
+    # The entropy of styles needs the counts over all pages, that of content those on each page.
+    whole = F.col("total")
+    shape = shapes.groupBy("host", "path").agg(
+        F.sum("total").alias("total"), F.sum(whole * F.log(whole)).alias("weighted"), F.count("*").alias("styles")
     )
-    node = seen.join(shape, ["host", "path"]).select(
-        "host",
-        "path",
-        "pages",
-        "styles",
-        F.when(F.col("pages") > 1, _entropy("total", "weighted", "pages")).otherwise(F.lit(1.0)).alias("presentation"),
-    )
-    node = scratch.save(node, "nodes")
-    below = parsed.select("host", "row", F.inline("leaves")).select(
-        "host", "row", "content", F.explode(F.array_distinct("branch")).alias("path")
+    seen = (
+        statistics.select("host", F.explode(F.array_distinct("elements.path")).alias("path"))
+        .groupBy("host", "path")
+        .agg(F.count("*").alias("pages"))
     )
-    spread = (
-        below.groupBy("host", "path", "content", "row")
-        .agg(F.count("*").alias("n"))
-        .groupBy("host", "path", "content")
-        .agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
+    node = scratch.save(
+        seen.join(shape, ["host", "path"]).select(
+            "host",
+            "path",
+            "pages",
+            "styles",
+            F.when(F.col("pages") > 1, _entropy("total", "weighted", "pages")).otherwise(F.lit(1.0)).alias("presentation"),
+        ),
+        "nodes",
     )
+    texts = statistics.select("host", F.inline("leaves")).groupBy("host", "path", "what").agg(*spread)
     content = (
-        spread.join(node.select("host", "path", "pages"), ["host", "path"])
+        texts.join(node.select("host", "path", "pages"), ["host", "path"])
         .withColumn("evenness", F.least(_entropy("total", "weighted", "pages"), F.lit(1.0)))
         .groupBy("host", "path")
         .agg((1 - F.avg("evenness")).alias("content"))
@@ -295,23 +318,33 @@ def importance(parsed: DataFrame, scratch: Scratch) -> DataFrame:
 def extract(pages: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFrame:
     """(page_id, url, text) of rows (page_id, url, html)."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1))
-    parsed = scratch.save(_parsed(pages).withColumn("host", host).withColumn("row", F.monotonically_increasing_id()), "parsed")
-    marked = parsed.where(F.col("blocks").isNull()).select("page_id", "url", F.coalesce("text", F.lit("")).alias("text"))
-    open_ = parsed.where(F.col("blocks").isNotNull())
-    nodes = scratch.save(importance(parsed.select("host", "row", "elements", "leaves"), scratch), "importance")
-    branches = open_.select("host", "row", F.explode(F.array_distinct(F.flatten("blocks.branch"))).alias("path"))
-    poor = (
+    given = pages.select(
+        "page_id",
+        "url",
+        "html",
+        F.xxhash64(host).alias("host"),
+        # Equal pages of a host are treated alike, so they may share a key.
+        F.unhex(F.md5(F.concat(host, F.lit("\n"), F.coalesce("html", F.lit(""))).cast("binary"))).alias("key"),
+    )
+    statistics = scratch.save(_statistics(given), "statistics")
+    nodes = scratch.save(importance(statistics, scratch), "importance")
+    branches = statistics.where(F.size("open") > 0).select("key", "host", F.explode("open").alias("path"))
+    poor = scratch.save(
         branches.join(nodes.where(F.col("importance") < least), ["host", "path"])
-        .groupBy("row")
-        .agg(F.collect_set("path").alias("poor"))
+        .groupBy("key")
+        .agg(F.collect_set("path").alias("poor")),
+        "poor",
     )
+    few = poor.count() <= BROADCAST_PAGES
     kept = F.filter(
         "blocks",
         lambda block: F.when(block["prior"].isNotNull(), block["prior"] == 1).otherwise(
             ~F.arrays_overlap(block["branch"], F.coalesce("poor", F.array().cast("array<long>")))
         ),
     )
-    decided = open_.join(poor, "row", "left").select(
-        "page_id", "url", F.array_join(F.transform(kept, lambda block: block["text"]), "\n\n").alias("text")
+    left = F.array_join(F.transform(kept, lambda block: block["text"]), "\n\n")
+    return (
+        _blocks(given.select("page_id", "url", "html", "key"))
+        .join(F.broadcast(poor) if few else poor, "key", "left")
+        .select("page_id", "url", F.coalesce("text", left, F.lit("")).alias("text"))
     )
-    return marked.unionByName(decided)
