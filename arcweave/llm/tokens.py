@@ -18,7 +18,7 @@ from collections.abc import Iterable
 import numpy as np
 
 #: Parts remembered in each of two generations; about 100 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: New parts encoded in one call.
 TOGETHER = 128
 
