@@ -15,10 +15,13 @@ COPIES_PER_PIECE = 1 << 18
 
 
 def as_edges(df: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Any two integer columns as an edge table ``(src, dst)``."""
-    return df.select(
-        F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst")
-    )
+    """Any two integer columns as an edge table ``(src, dst)``; a missing end raises."""
+
+    def end(name: str) -> Column:
+        problem = F.raise_error(F.lit("an edge has no id at one end")).cast("bigint")
+        return F.coalesce(F.col(name).cast("bigint"), problem)
+
+    return df.select(end(src).alias("src"), end(dst).alias("dst"))
 
 
 def reverse(edges: DataFrame) -> DataFrame:

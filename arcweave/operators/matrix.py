@@ -131,10 +131,9 @@ def matvec(
 def matvec_broadcast(matrix: DataFrame, vector: DataFrame) -> DataFrame:
     """``matvec`` with the vector replicated to every executor.
 
-    Raises if the vector is too large for that; ``matvec`` chooses by itself.
+    A vector of over ``BROADCAST_ROWS`` rows is not replicated; the product then
+    goes on with both sides shuffled, with the same result.
     """
-    if vector.count() > BROADCAST_ROWS:
-        raise ValueError(f"a vector of over {BROADCAST_ROWS} rows is not broadcast: use matvec")
     return matvec(matrix, vector)
 
 
@@ -171,6 +170,9 @@ def matvec_dense(rows: DataFrame, vector: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint"),
         lambda total, term: total + term,
     )
+    hole = F.raise_error(F.lit("a matrix cell or vector element is null")).cast("bigint")
+    holes = F.exists("values", lambda x: x.isNull()) | F.exists("factor", lambda x: x.isNull())
+    dot = F.when(holes, hole).otherwise(dot)
     fits = F.size("values") == F.size("factor")
     problem = F.raise_error(F.lit("a matrix row and the vector differ in width"))
     return with_factor.select(
@@ -178,18 +180,46 @@ def matvec_dense(rows: DataFrame, vector: DataFrame) -> DataFrame:
     )
 
 
+def matvec_wide(rows: DataFrame, vector: DataFrame, width: int = DENSE_WIDTH) -> DataFrame:
+    """``(row_id, value)``: dense rows of any width times ``(idx, value)``.
+
+    Rows and vector are cut into blocks of ``width`` columns that meet in a join;
+    the partial products of a row are added. The vector's indices must be 0 to
+    the rows' width - 1, else this raises.
+    """
+    require_ansi(rows.sparkSession)
+    last = F.floor((F.size("values") - 1) / F.lit(width)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice("values", b * width + 1, width))
+    blocks = rows.where(F.size("values") > 0).select("row_id", F.posexplode(cut).alias("block_no", "values"))
+    cells = F.array_sort(F.collect_list(F.struct("idx", "value")))
+    factors = vector.groupBy(F.floor(F.col("idx") / width).cast("int").alias("block_no")).agg(cells.alias("cells"))
+    # A block has the indices from its first one on, each once, and no null.
+    sound = F.forall(
+        F.transform("cells", lambda cell, i: (cell["idx"] == F.col("block_no").cast("bigint") * width + i) & cell["value"].isNotNull()),
+        lambda right: F.coalesce(right, F.lit(False)),
+    )
+    joined = blocks.join(factors, "block_no", "left")
+    terms = F.zip_with("values", F.col("cells.value"), lambda a, b: a.cast("bigint") * b)
+    dot = F.aggregate(terms, F.lit(0).cast("bigint"), lambda total, term: total + term)
+    fits = F.coalesce((F.size("cells") == F.size("values")) & sound & F.forall("values", lambda x: x.isNotNull()), F.lit(False))
+    problem = F.raise_error(F.lit("a matrix row and the vector differ in width or have nulls")).cast("bigint")
+    parts = joined.select("row_id", F.when(fits, dot).otherwise(problem).alias("part"))
+    empty = rows.where(F.size("values") == 0).select("row_id", F.lit(0).cast("bigint").alias("part"))
+    return parts.unionByName(empty).groupBy("row_id").agg(F.sum("part").alias("value"))
+
+
 def in_row_order(result: DataFrame) -> DataFrame:
     """A result vector sorted by row."""
     return result.orderBy("row_id")
 
 
-def show_vector(result: DataFrame, n: int = 20) -> None:
-    """Print the first ``n`` elements in row order."""
+def show_vector(result: DataFrame, n: int) -> None:
+    """Preview: print the first ``n`` elements in row order."""
     in_row_order(result).show(n, truncate=False)
 
 
-def show_matrix(rows: DataFrame, n: int = 20) -> None:
-    """Print the first ``n`` dense rows, tab separated, in row order."""
+def show_matrix(rows: DataFrame, n: int) -> None:
+    """Preview: print the first ``n`` dense rows, tab separated, in row order."""
     rows.orderBy("row_id").select("row_id", render("values").alias("line")).show(
         n, truncate=False
     )

@@ -43,6 +43,12 @@ def exclusive_running(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
 
+    def joined(many: DataFrame, one: DataFrame, keys: list[str]):
+        # Rows without a group are a group of their own.
+        one = one.withColumnsRenamed({k: f"{k}__key" for k in keys})
+        same = [many[k].eqNullSafe(one[f"{k}__key"]) if k in by else many[k] == one[f"{k}__key"] for k in keys]
+        return many.join(one, same).drop(*(f"{k}__key" for k in keys))
+
     # Never null, which spares the joins below a null filter that would make
     # their branches differ: they share one evaluation of ``df``'s shuffle.
     number = F.coalesce(F.col(order), F.lit(0).cast("bigint"))
@@ -58,7 +64,7 @@ def exclusive_running(
     blocks = blocks.select(
         *by, block, upper, before(block, "__total", [*by, upper]).alias("__beside")
     )
-    bases = blocks.join(supers, [*by, upper]).select(*by, block, "__beside", "__above")
+    bases = joined(blocks, supers, [*by, upper]).select(*by, block, "__beside", "__above")
     inside = rows.withColumn("__inside", before(order, value, [*by, block]))
 
     parts = ["__inside", "__beside", "__above"]
@@ -67,4 +73,4 @@ def exclusive_running(
                     F.coalesce(parts[0], F.lit(0).cast("bigint")))
     else:
         total = F.greatest(*parts)
-    return inside.join(bases, [*by, block]).select(*df.columns, total.alias(out))
+    return joined(inside, bases, [*by, block]).select(*df.columns, total.alias(out))

@@ -99,9 +99,11 @@ ORACLES: dict[str, str] = {
             vertex_id AS rebuilt_id FROM degrees"""
     ),
     "adjacency_list": _with_arcs(
-        """SELECT src AS vertex_id, 0::BIGINT AS block_no,
+        """SELECT src AS vertex_id, block_no,
             array_to_string(list_sort(list(dst)), ',') AS neighbors
-        FROM arcs GROUP BY src"""
+        FROM (SELECT src, dst, ((row_number() OVER (
+            PARTITION BY src ORDER BY dst) - 1) // 1048576)::BIGINT AS block_no FROM arcs)
+        GROUP BY src, block_no"""
     ),
     "csr_row_offsets": _with_arcs(
         """SELECT vertex_id, degree, coalesce(sum(degree) OVER (ORDER BY vertex_id

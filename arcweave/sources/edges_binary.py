@@ -54,7 +54,7 @@ def _open_fs(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def _edge_files(path: str) -> list[tuple[str, int]]:
+def _edge_files(path: str, may_be_empty: bool = False) -> list[tuple[str, int]]:
     from pyarrow import fs
 
     system, inner = _open_fs(path)
@@ -63,8 +63,15 @@ def _edge_files(path: str) -> list[tuple[str, int]]:
         raise FileNotFoundError(f"no edge file at {path}")
     if info.type == fs.FileType.File:
         return [(info.path, info.size)]
-    found = system.get_file_info(fs.FileSelector(inner))
-    return sorted((f.path, f.size) for f in found if f.path.endswith(".bin"))
+    found = [
+        (f.path, f.size)
+        for f in system.get_file_info(fs.FileSelector(inner, recursive=True))
+        if f.type == fs.FileType.File
+        and not any(name.startswith(("_", ".")) for name in f.path[len(inner.rstrip("/")) :].split("/"))
+    ]
+    if not found and not may_be_empty:
+        raise FileNotFoundError(f"no edge file below {path}")
+    return sorted(found)
 
 
 @dataclass
@@ -173,13 +180,14 @@ class EdgesBinaryWriter(DataSourceArrowWriter):
 
     def commit(self, messages) -> None:
         system, inner = _open_fs(self.path)
-        old = _edge_files(self.path) if self.overwrite else []
-        for path, _ in old:
-            system.delete_file(path)
+        old = _edge_files(self.path, may_be_empty=True) if self.overwrite else []
         for number, message in enumerate(messages):
             if message is not None:
                 name = f"part-{number:06d}-{self.job}.bin"
                 system.move(message.path, f"{inner.rstrip('/')}/{name}")
+        # Old files go last: a commit that fails before leaves them in place.
+        for path, _ in old:
+            system.delete_file(path)
         self._drop_staging(system, inner)
 
     def abort(self, messages) -> None:

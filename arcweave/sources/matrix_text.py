@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -14,11 +15,27 @@ from arcweave.session import require_ansi
 # Input splits up to which their line counts are broadcast.
 BROADCAST_SPLITS = 100_000
 
+# The number in the name of a part file.
+PART = "part-([0-9]{1,18})[^/]*$"
+
+
+def file_order(file: str) -> list:
+    """Files by folder, then by part number if they have one, then by name.
+
+    Part numbers outgrow their five digits, so names alone are out of order.
+    """
+    path = F.col(file)
+    return [
+        F.regexp_extract(path, "^(.*/)", 1),
+        F.coalesce(F.nullif(F.regexp_extract(path, PART, 1), F.lit("")).cast("bigint"), F.lit(-1)),
+        path,
+    ]
+
 
 def numbered_cells(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     """``(line_no, cells array<bigint>)`` of a text of comma-separated integers.
 
-    Lines are numbered from 0 in file order (files of a folder by name). The
+    Lines are numbered from 0 in file order (see ``file_order``). The
     text is parsed once into a table that keeps, per line, its input split and
     a number rising within it; the lines before each split then follow from
     one count per split. Nothing is sorted, and no line goes through Python.
@@ -35,7 +52,7 @@ def numbered_cells(spark: SparkSession, path: str, scratch: Scratch) -> DataFram
         F.min("tick").alias("first_tick"), F.count("*").alias("n")
     )
     # One row per input split, so this window sorts a few rows per gigabyte.
-    earlier = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy(*file_order("file"), "start").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select(
         "file",
         "start",
@@ -61,7 +78,13 @@ class MatrixText:
 def read_dims(spark: SparkSession, path: str) -> DataFrame:
     """One row ``(n_rows, n_cols)``: the first line of the text, and no more."""
     cells = parse_cells(F.col("value"))
-    for name in sorted(spark.read.text(path).inputFiles()):
+
+    def order(name: str):
+        folder, _, last = name.rpartition("/")
+        part = re.search(PART, name)
+        return folder + "/", int(part[1]) if part else -1, last
+
+    for name in sorted(spark.read.text(path).inputFiles(), key=order):
         head = spark.read.text(unquote(name)).where("_metadata.file_block_start = 0").limit(1)
         if head.take(1):
             return head.select(cells[0].alias("n_rows"), cells[1].alias("n_cols"))
@@ -106,8 +129,13 @@ def read_matrix_text(spark: SparkSession, path: str, scratch: Scratch) -> Matrix
 
 
 def write_matrix_text(rows: DataFrame, vector: DataFrame, path: str) -> None:
-    """Write dense rows and a vector in the text layout, as ordered part files."""
-    n_rows, n_cols = rows.agg(F.count("*"), F.max(F.size("values"))).first()
+    """Write dense rows and a vector in the text layout, as ordered part files.
+
+    Rows of different widths raise.
+    """
+    n_rows, n_cols, least = rows.agg(F.count("*"), F.max(F.size("values")), F.min(F.size("values"))).first()
+    if least != n_cols:
+        raise ValueError(f"matrix rows have {least} to {n_cols} cells")
     spark = rows.sparkSession
     header = spark.range(1).select(
         F.lit(0).alias("section"), F.col("id").alias("ordinal"),
@@ -126,11 +154,25 @@ def write_matrix_text(rows: DataFrame, vector: DataFrame, path: str) -> None:
     ).write.text(path)
 
 
-def write_vector_text(result: DataFrame, path: str) -> None:
+def write_vector_text(result: DataFrame, path: str, n_rows: int | None = None) -> None:
     """Write a result vector, one number per line in row order.
 
     The part files are in order: read one after the other they are the vector.
+    With ``n_rows`` there is a line for each row from 0 to ``n_rows`` - 1, with 0
+    for rows the result lacks; other ids and repeated ones raise.
     """
+    if n_rows is not None:
+        total, least, most, distinct = result.agg(
+            F.count("*"), F.min("row_id"), F.max("row_id"), F.count_distinct("row_id")
+        ).first()
+        if total and (least < 0 or most >= n_rows):
+            raise ValueError(f"row ids from {least} to {most}, expected 0 to {n_rows - 1}")
+        if distinct != total:
+            raise ValueError(f"{total} rows have {distinct} different ids")
+        every = result.sparkSession.range(n_rows).withColumnRenamed("id", "row_id")
+        result = every.join(result, "row_id", "left").select(
+            "row_id", F.coalesce("value", F.lit(0)).alias("value")
+        )
     result.orderBy("row_id").select(F.col("value").cast("string")).write.text(path)
 
 

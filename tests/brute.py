@@ -31,13 +31,3 @@ def product(cells, vector):
         if col in vector:
             total[row] = total.get(row, 0) + value * vector[col]
     return total
-
-
-def magic_square(n):
-    """Rows of the doubly even magic square."""
-
-    def cell(r, c):
-        outer = (r % 4 in (0, 3)) == (c % 4 in (0, 3))
-        return n * n - (r * n + c) if outer else r * n + c + 1
-
-    return [[cell(r, c) for c in range(n)] for r in range(n)]

@@ -93,7 +93,7 @@ def matrix_file(path, rows, vector, header=None):
 
 
 def test_matrix_text_over_many_splits(spark, scratch, tmp_path):
-    square = brute.magic_square(64)
+    square = [[(r * 5 + c * c) % 31 for c in range(64)] for r in range(64)]
     path = matrix_file(tmp_path / "m.txt", square, range(64))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
