@@ -5,8 +5,10 @@ stands between two other characters: the byte-level one starts a piece at a
 single space before a non-space, the word one drops white space. A full stop or
 comma between a letter and white space is a piece of its own in both. So a text's
 ids are the ids of its parts, one after the other. Parts repeat a lot; the
-library encodes each only when a worker has not met it lately. Texts with white
-space of other shapes are encoded whole.
+library encodes each only when a worker has not met it lately. Cutting, telling
+parts apart and putting ids together are array operations over a slice of texts;
+Python touches each different part of a slice once. Texts with white space of
+other shapes are encoded whole.
 """
 
 from __future__ import annotations
@@ -14,18 +16,21 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Parts remembered in each of two generations; about 100 bytes each.
+#: Parts remembered in each of two generations; about 200 bytes each.
 REMEMBERED = 150_000
 #: New parts encoded in one call.
-TOGETHER = 128
+TOGETHER = 64
 
 
 #: A mark between a letter and white space is a piece of its own.
-_MARK = re.compile(r"(?<=[a-z])([.,])(?=[ \n])")
-_LATE_MARK = re.compile(r"(?<=[A-Za-z])([.,])(?=[ \n])")
+_MARK = re.compile(r"[.,](?<=[a-z].)(?=[ \n])")
+_LATE_MARK = re.compile(r"[.,](?<=[A-Za-z].)(?=[ \n])")
 _OTHER_BLANKS = re.compile(r"\s\s|[^\S \n]|[\0\x1c-\x1f]")
 
 
@@ -37,6 +42,17 @@ def _is_latin(text: str) -> bool:
     return True
 
 
+@lru_cache(maxsize=1)
+def _library(path: str):
+    """The tokenizer of a file; a worker reads it once for all its tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    found.encode_special_tokens = True  # their strings in a text are ordinary text
+    return found
+
+
 class Encoder:
     """Ids of texts under one vocabulary file of the tokenizers library.
 
@@ -45,27 +61,31 @@ class Encoder:
     """
 
     def __init__(self, path: str, keeps_space: bool):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._library = _library(path)
         self._keeps_space = keeps_space
+        self._between = "\0" if keeps_space else " "
+        vocabulary = self._library.get_vocab(with_added_tokens=False)
+        # The last id of a piece: the line end after it, or an id that ends a word.
+        self._is_last = np.zeros(max(vocabulary.values()) + 1, bool)
+        if keeps_space:
+            self._is_last[self._ids("\n")] = True
+        else:
+            self._is_last[[i for name, i in vocabulary.items() if name.endswith("</w>")]] = True
         self._recent: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
-    def _parts(self, text: str) -> list[str]:
-        """The text cut where no piece can reach across."""
+    def _marked(self, text: str) -> str | None:
+        """The text with ``_between`` wherever no piece can reach across; None if it must be encoded whole."""
         if not self._keeps_space:
             # Lower-casing comes first in this vocabulary; outside Latin-1 it is left to the library.
             folded = text.lower() if _is_latin(text) else text
-            return _MARK.sub(r" \1", folded).replace("\n", " ").split(" ")
+            return _MARK.sub(r" \g<0>", folded).replace("\n", " ")
         # " x" is a part of its own if neither side of its space is white space; so is a
         # line end. Where white space of other shapes occurs, the text is encoded whole.
-        if _OTHER_BLANKS.search(text):
-            return [text]
-        marked = _LATE_MARK.sub("\0\\1", text).replace("\n", "\0\n\0").replace(" ", "\0 ")
-        return marked.split("\0")
+        plain = "\0" not in text and " ".join(text.split()) == text.replace("\n", " ")
+        if not plain and _OTHER_BLANKS.search(text):
+            return None
+        return _LATE_MARK.sub("\0\\g<0>", text).replace("\n", "\0\n\0").replace(" ", "\0 ")
 
     def _is_plain(self, part: str) -> bool:
         """Is it one run of other characters, that can be encoded next to others?"""
@@ -76,33 +96,67 @@ class Encoder:
         return np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _together(self, parts: list[str]) -> list[bytes]:
-        """The ids of each of some plain parts, encoded as one text of lines and told apart by where they start."""
+        """The ids of each of some plain parts, encoded as one text of lines."""
+        found = self._library.encode_batch_fast(["\n".join(parts)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, np.uint32)
+        last = np.flatnonzero(self._is_last[ids])
+        if self._keeps_space:
+            starts, ends = [0, *(last + 1).tolist()], [*last.tolist(), len(ids)]
+        else:
+            starts, ends = [0, *(last + 1).tolist()][:-1], (last + 1).tolist()
+        # A part of several words has several last ids: then each is encoded alone.
+        if len(ends) != len(parts):
+            return [self._ids(part).tobytes() for part in parts]
+        return [ids[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """The ids of each of some different parts."""
+        recent, older = self._recent, self._older
+        words, others = [], []
+        for part in parts:
+            if part not in recent:
+                ids = older.get(part)
+                if ids is not None:
+                    recent[part] = ids
+                elif not self._is_plain(part):
+                    recent[part] = self._ids(part).tobytes()
+                elif self._keeps_space or part.isalpha():
+                    words.append(part)
+                else:
+                    others.append(part)
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            recent.update(zip(some, self._together(some), strict=True))
+        for at in range(0, len(others), TOGETHER):
+            some = others[at : at + TOGETHER]
+            recent.update(zip(some, self._by_offsets(some), strict=True))
+        found = [recent[part] for part in parts]
+        if len(recent) > REMEMBERED:
+            self._older, self._recent = recent, {}
+        return found
+
+    def _by_offsets(self, parts: list[str]) -> list[bytes]:
+        """The same for parts of any number of words, told apart by where their ids start."""
         found = self._library.encode("\n".join(parts), add_special_tokens=False)
         ids = np.array(found.ids, np.uint32)
         starts = np.array([start for start, _ in found.offsets], np.int64)
         ends = np.cumsum([len(part) + 1 for part in parts])
         cuts = np.searchsorted(starts, ends - 1).tolist()
-        # A byte-level vocabulary has one id for the line end itself.
-        ahead = [0, *(cut + self._keeps_space for cut in cuts[:-1])]
-        return [ids[a:b].tobytes() for a, b in zip(ahead, cuts, strict=True)]
+        return [ids[a:b].tobytes() for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
 
     def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
-        cut = [self._parts(text) for text in texts]
-        recent, older = self._recent, self._older
-        unknown = []
-        for part in sorted(set().union(*cut) - recent.keys()):
-            ids = older.get(part)
-            if ids is None:
-                unknown.append(part)
-            else:
-                recent[part] = ids
-        plain = [part for part in unknown if self._is_plain(part)]
-        for at in range(0, len(plain), TOGETHER):
-            recent.update(zip(plain[at : at + TOGETHER], self._together(plain[at : at + TOGETHER]), strict=True))
-        for part in set(unknown) - set(plain):
-            recent[part] = self._ids(part).tobytes()
-        out = [np.frombuffer(b"".join(map(recent.__getitem__, parts)), np.uint32) for parts in cut]
-        if len(recent) > REMEMBERED:
-            self._older, self._recent = recent, {}
-        return out
+        texts = list(texts)
+        marked = [self._marked(text) for text in texts]
+        lists = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), self._between)
+        parts = lists.flatten().dictionary_encode()
+        at = parts.indices.to_numpy()
+        known = self._known(parts.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(known), np.uint32)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        n = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        moved = np.repeat((np.cumsum(sizes) - sizes)[at] - ends[:-1], n)
+        moved += np.arange(len(moved))
+        out = np.split(ids[moved], ends[lists.offsets.to_numpy()[1:-1]]) if texts else []
+        return [self._ids(text) if m is None else own for text, m, own in zip(texts, marked, out, strict=True)]
