@@ -93,6 +93,25 @@ def test_components_of_a_long_chain(spark, scratch):
     assert {(r.node, r.root) for r in found.collect()} == {(i, 0) for i in range(201)} | {(500, 500), (501, 500)}
 
 
+def test_components_of_hubs_and_random_links(spark, scratch):
+    drawn = random.Random(3)
+    hub = [(1000, i) for i in range(300)]
+    zigzag = [pair for i in range(2000, 2200) for pair in ((i, 9000 - i), (9000 - i, i + 1))]
+    scattered = [(10_000 + drawn.randrange(300), 10_000 + drawn.randrange(300)) for _ in range(200)]
+    pairs = hub + zigzag + scattered + scattered[:20]
+    root = {n: n for pair in pairs for n in pair if pair[0] != pair[1]}
+    for _ in range(len(root)):
+        before = dict(root)
+        for a, b in pairs:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    found = components(spark.createDataFrame(pairs, "a long, b long"), scratch)
+    assert sorted((r.node, r.root) for r in found.collect()) == sorted(root.items())
+    assert components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
+
+
 def brute_hits(text, items):
     w = words(text)
     hit, found = set(), set()
