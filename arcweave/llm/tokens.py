@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 #: Parts remembered in each of two generations; about 200 bytes each.
 REMEMBERED = 150_000
 #: New parts encoded in one call.
-TOGETHER = 64
+TOGETHER = 512
 
 
 #: A mark between a letter and white space is a piece of its own.
@@ -104,9 +104,12 @@ class Encoder:
             starts, ends = [0, *(last + 1).tolist()], [*last.tolist(), len(ids)]
         else:
             starts, ends = [0, *(last + 1).tolist()][:-1], (last + 1).tolist()
-        # A part of several words has several last ids: then each is encoded alone.
+        # A part of several words has several last ids: then halves are tried, at last one alone.
         if len(ends) != len(parts):
-            return [self._ids(part).tobytes() for part in parts]
+            if len(parts) == 1:
+                return [ids.tobytes()]
+            half = len(parts) // 2
+            return self._together(parts[:half]) + self._together(parts[half:])
         return [ids[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
 
     def _known(self, parts: list[str]) -> list[bytes]:
@@ -151,7 +154,7 @@ class Encoder:
         lists = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), self._between)
         parts = lists.flatten().dictionary_encode()
         at = parts.indices.to_numpy()
-        known = self._known(parts.dictionary.to_pylist())
+        known = self._known(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
         ids = np.frombuffer(b"".join(known), np.uint32)
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         n = sizes[at]
