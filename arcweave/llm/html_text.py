@@ -10,11 +10,15 @@ below it (how evenly the same text spreads over pages), as in style trees:
 
 with s styles seen and g = 0.9. Branches below ``LEAST`` are removed from each page.
 
-What the markup itself says comes first: branches inside an article or main
-element are important, those in elements that are menus, headers, footers,
-sidebars, notices, adverts, forms or comments by tag, role, class or id are not,
-and on a page with an article nothing outside it is. The tree decides
-the rest, that is the pages that do not mark their article.
+What the markup says weighs in: elements that are menus, headers, footers,
+sidebars, notices, adverts, forms or comments by tag, role, class or id are
+unimportant, and on a page with an article or main element so is all outside it.
+On pages that do not mark their article the tree alone decides the rest. Inside
+an article it needs more: a block is removed if its own text stands in at least
+``MANY`` different articles of the host, and either a branch around it (inside the
+article) is below ``LEAST`` or the text stands in ``EVERY`` of the host's articles.
+Pages with the same article count once, and an article of which more than half
+would go stays whole, so copies and versions of an article are not taken for boxes.
 
 Pages are parsed twice, for statistics and for their text, so that no text is
 stored in between. Statistics are sums of narrow rows counted within each page
@@ -44,6 +48,9 @@ from arcweave.scratch import Scratch
 
 LEAST = 0.3
 GAMMA = 0.9
+#: Different articles of a host that a text inside an article must stand in to be removed, and the share that is enough alone.
+MANY = 3
+EVERY = 0.8
 #: Pages with branches to remove are broadcast up to this many (of about 100 bytes).
 BROADCAST_PAGES = 100_000
 DEEPEST = 32
@@ -105,11 +112,11 @@ def _key(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(found.split())]) if found else tag
 
 
-def parse(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
-    """The blocks of a page in order, and (path, child elements) of each element."""
-    # An open element: tag, in the article, in clutter, path, child keys.
-    stack: list[tuple[str, bool, bool, str, list[str]]] = [("", False, False, "", [])]
-    blocks: list[tuple[str, bool, bool, tuple[str, ...]]] = []
+def parse(page: str) -> tuple[list[Block], list[tuple[str, str]], list[int]]:
+    """The blocks of a page in order, (path, child elements) of each element, and where each block's branch enters the article."""
+    # An open element: tag, depth of the article around it or 0, in clutter, path, child keys.
+    stack: list[tuple[str, int, bool, str, list[str]]] = [("", 0, False, "", [])]
+    blocks: list[tuple[str, int, bool, tuple[str, ...]]] = []
     elements: list[tuple[str, str]] = []
     held: list[str] = []
     marked = False
@@ -187,10 +194,11 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
         key = _key(tag, attributes)
         children.append(key)
         own = _is_clutter(tag, attributes)
-        inside = article or tag in ARTICLE or bool(re.search(r"""(?i)\brole\s*=\s*["']?main\b""", attributes))
-        marked |= inside and not clutter and not own
+        if not article and (tag in ARTICLE or re.search(r"""(?i)\brole\s*=\s*["']?main\b""", attributes)):
+            article = len(stack)
+        marked |= bool(article) and not clutter and not own
         path = f"{path}/{key}" if len(stack) <= DEEPEST else path
-        stack.append((tag, inside, clutter or own, path, []))
+        stack.append((tag, article, clutter or own, path, []))
     text_done()
     flush()
     while len(stack) > 1:
@@ -199,7 +207,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
     for text, article, clutter, path in blocks:
         prior = 0 if clutter else 1 if article else 0 if marked else None
         decided.append((text, prior, path))
-    return decided, elements
+    return decided, elements, [article for _, article, _, _ in blocks]
 
 
 def _hash(text: str) -> int:
@@ -220,53 +228,80 @@ class _Paths:
         return self.known[path]
 
 
+def _inside(blocks: list[Block], depths: list[int], paths: _Paths) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(block, its cells) of the blocks in the article: (path, text) for each branch inside it, and (0, text)."""
+    found = []
+    for at, ((text, prior, branch), depth) in enumerate(zip(blocks, depths, strict=True)):
+        if prior == 1:
+            what = _hash(text)
+            found.append((at, [(0, what), *((paths[p], what) for p in branch[depth:])]))
+    return found
+
+
 def _statistics(pages: DataFrame) -> DataFrame:
-    """(key, host, elements, leaves, open) of rows (key, host, html), counted within each page.
+    """(key, host, elements, leaves, open, article, inside) of rows (key, host, html), counted within each page.
 
-    ``open`` are the paths of the blocks that the markup does not decide.
+    ``open`` are the paths of the blocks that the markup does not decide, ``inside``
+    the cells of those in the article, and ``article`` is its text's hash or null.
     """
     counted = pa.list_(pa.struct([("path", pa.int64()), ("what", pa.int64()), ("n", pa.int32())]))
+    cell = pa.list_(pa.struct([("path", pa.int64()), ("what", pa.int64())]))
 
     def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths = _Paths()
         for batch in slices(batches, "html"):
             rows = []
             for page in column(batch, "html").to_pylist():
-                blocks, elements = parse(page or "")
+                blocks, elements, depths = parse(page or "")
                 shapes = Counter((paths[p], _hash(s)) for p, s in elements)
                 leaves = Counter((paths[p], h) for t, _, branch in blocks for h in (_hash(t),) for p in set(branch))
                 open_ = sorted({paths[p] for _, prior, branch in blocks if prior is None for p in branch})
-                rows.append(([(*k, n) for k, n in shapes.items()], [(*k, n) for k, n in leaves.items()], open_))
+                inside = sorted({c for _, cells in _inside(blocks, depths, paths) for c in cells})
+                article = _hash("\n\n".join(t for t, prior, _ in blocks if prior)) if inside else None
+                rows.append(([(*k, n) for k, n in shapes.items()], [(*k, n) for k, n in leaves.items()], open_, article, inside))
             columns = list(zip(*rows, strict=True))
             arrays = [column(batch, "key"), column(batch, "host")]
             for found in columns[:2]:
                 arrays.append(pa.array([[dict(zip(("path", "what", "n"), x, strict=True)) for x in row] for row in found], counted))
-            arrays.append(pa.array(columns[2], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "host", "elements", "leaves", "open"])
+            arrays += [pa.array(columns[2], pa.list_(pa.int64())), pa.array(columns[3], pa.int64())]
+            arrays.append(pa.array([[{"path": p, "what": w} for p, w in row] for row in columns[4]], cell))
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "host", "elements", "leaves", "open", "article", "inside"])
 
     cells = "array<struct<path: long, what: long, n: int>>"
-    return pages.select("key", "host", "html").mapInArrow(statistics, f"key binary, host long, elements {cells}, leaves {cells}, open array<long>")
+    return pages.select("key", "host", "html").mapInArrow(
+        statistics,
+        f"key binary, host long, elements {cells}, leaves {cells}, open array<long>, article long, inside array<struct<path: long, what: long>>",
+    )
+
 
+def _left(page: str, poor: set[int], dropped: set[tuple[int, int]], paths: _Paths) -> str:
+    """The text of a page without its ``poor`` branches and the ``dropped`` cells of its article."""
+    blocks, _, depths = parse(page)
+    gone = set()
+    if dropped:
+        inside = _inside(blocks, depths, paths)
+        gone = {at for at, cells in inside if not dropped.isdisjoint(cells)}
+        if 2 * sum(len(blocks[at][0]) for at in gone) > sum(len(blocks[at][0]) for at, _ in inside):
+            gone = set()
+    kept = []
+    for at, (text, prior, branch) in enumerate(blocks):
+        if at not in gone and (prior == 1 or prior is None and not any(paths[p] in poor for p in branch)):
+            kept.append(text)
+    return "\n\n".join(kept)
 
-def _blocks(pages: DataFrame) -> DataFrame:
-    """(page_id, url, key, text, blocks): the text if the markup decides, else the blocks."""
-    block = pa.list_(pa.struct([("text", pa.string()), ("prior", pa.int32()), ("branch", pa.list_(pa.int64()))]))
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(pages: DataFrame) -> DataFrame:
+    """(page_id, url, text) of rows (page_id, url, html, poor, dropped)."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths = _Paths()
         for batch in slices(batches, "html"):
-            texts, found = [], []
-            for page in column(batch, "html").to_pylist():
-                parsed, _ = parse(page or "")
-                open_ = any(prior is None for _, prior, _ in parsed)
-                texts.append(None if open_ else "\n\n".join(t for t, prior, _ in parsed if prior))
-                found.append([{"text": t, "prior": p, "branch": [paths[x] for x in b]} for t, p, b in parsed] if open_ else None)
-            arrays = [*(column(batch, n) for n in ("page_id", "url", "key")), pa.array(texts, pa.string()), pa.array(found, block)]
-            yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "key", "text", "blocks"])
+            rows = zip(*(column(batch, n).to_pylist() for n in ("html", "poor", "dropped")), strict=True)
+            found = [_left(page or "", set(poor or ()), {(d["path"], d["what"]) for d in dropped or ()}, paths) for page, poor, dropped in rows]
+            yield pa.RecordBatch.from_arrays([column(batch, "page_id"), column(batch, "url"), pa.array(found, pa.string())], ["page_id", "url", "text"])
 
     types = dict(pages.dtypes)
-    fields = f"page_id {types['page_id']}, url {types['url']}, key binary, text string"
-    return pages.mapInArrow(blocks, f"{fields}, blocks array<struct<text: string, prior: int, branch: array<long>>>")
+    return pages.select("page_id", "url", "html", "poor", "dropped").mapInArrow(texts, f"page_id {types['page_id']}, url {types['url']}, text string")
 
 
 def _entropy(total: str, weighted: str, pages: str):
@@ -315,6 +350,19 @@ def importance(statistics: DataFrame, scratch: Scratch) -> DataFrame:
     return node.join(content, ["host", "path"], "left").select("host", "path", F.when(F.col("pages") > 1, whole).otherwise(1.0).alias("importance"))
 
 
+def _boxes(statistics: DataFrame, low: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, path, what) of the cells inside articles that are the site's own text; path 0 is any."""
+    articles = statistics.where(F.col("article").isNotNull())
+    cells = articles.select("host", "article", F.inline("inside")).distinct()
+    repeated = scratch.save(
+        cells.groupBy("host", "path", "what").agg(F.count("*").alias("articles")).where(F.col("articles") >= MANY), "repeated"
+    )
+    hosts = articles.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("of"))
+    everywhere = repeated.where("path = 0").join(hosts, "host").where(F.col("articles") >= EVERY * F.col("of"))
+    branches = repeated.join(low, ["host", "path"])
+    return everywhere.select("host", "path", "what").unionByName(branches.select("host", "path", "what"))
+
+
 def extract(pages: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFrame:
     """(page_id, url, text) of rows (page_id, url, html)."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1))
@@ -328,23 +376,14 @@ def extract(pages: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFra
     )
     statistics = scratch.save(_statistics(given), "statistics")
     nodes = scratch.save(importance(statistics, scratch), "importance")
+    low = nodes.where(F.col("importance") < least)
     branches = statistics.where(F.size("open") > 0).select("key", "host", F.explode("open").alias("path"))
-    poor = scratch.save(
-        branches.join(nodes.where(F.col("importance") < least), ["host", "path"])
-        .groupBy("key")
-        .agg(F.collect_set("path").alias("poor")),
-        "poor",
-    )
-    few = poor.count() <= BROADCAST_PAGES
-    kept = F.filter(
-        "blocks",
-        lambda block: F.when(block["prior"].isNotNull(), block["prior"] == 1).otherwise(
-            ~F.arrays_overlap(block["branch"], F.coalesce("poor", F.array().cast("array<long>")))
-        ),
-    )
-    left = F.array_join(F.transform(kept, lambda block: block["text"]), "\n\n")
-    return (
-        _blocks(given.select("page_id", "url", "html", "key"))
-        .join(F.broadcast(poor) if few else poor, "key", "left")
-        .select("page_id", "url", F.coalesce("text", left, F.lit("")).alias("text"))
-    )
+    poor = branches.join(low, ["host", "path"]).groupBy("key").agg(F.collect_set("path").alias("poor"))
+    boxes = scratch.save(_boxes(statistics, low, scratch), "boxes")
+    boxes = F.broadcast(boxes) if boxes.count() <= BROADCAST_PAGES else boxes.hint("merge")
+    cells = statistics.where(F.size("inside") > 0).select("key", "host", F.inline("inside"))
+    dropped = cells.join(boxes, ["host", "path", "what"]).groupBy("key").agg(F.collect_set(F.struct("path", "what")).alias("dropped"))
+    # A page with an article has no branches that the markup leaves open, so no key is in both.
+    removed = scratch.save(poor.unionByName(dropped, allowMissingColumns=True), "removed")
+    few = removed.count() <= BROADCAST_PAGES
+    return _texts(given.select("page_id", "url", "html", "key").join(F.broadcast(removed) if few else removed, "key", "left"))
