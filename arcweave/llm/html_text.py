@@ -13,6 +13,8 @@ with s styles seen and g = 0.9. Branches below ``LEAST`` are removed from each p
 What the markup says weighs in: elements that are menus, headers, footers,
 sidebars, notices, adverts, forms or comments by tag, role, class or id are
 unimportant, and on a page with an article or main element so is all outside it.
+Names count as whole tokens only; a page whose articles all lie in boxes that
+only a name makes clutter has them as its articles.
 On pages that do not mark their article the tree alone decides the rest. Inside
 an article it needs more: a block is removed if its own text stands in at least
 ``MANY`` different articles of the host, and either a branch around it (inside the
@@ -80,31 +82,43 @@ CONTAINERS = frozenset("ul ol dl table body html article main section div nav as
 ARTICLE = frozenset(("article", "main"))
 CLUTTER = frozenset("nav header footer aside form menu dialog button select head fieldset".split())
 CLUTTER_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-CLUTTER_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|widget|ads?|adverts?"
-    r"|advertisement|advertising|banner|promo|promotion|sponsor|sponsored|cookies?|consent|gdpr|notice|notification|alert|popup|modal"
-    r"|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|comments?|replies|reply"
-    r"|respond|disqus|pagination|pager|copyright|disclaimer|toolbar)(?:$|[\s_-])",
-    re.IGNORECASE,
+#: Whole tokens of a class or id (with _ as -); a word in a longer token, as in no-sidebar or article-header, says nothing.
+CLUTTER_NAMES = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside widget ad ads advert adverts"
+    " advertisement advertising banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notification alert popup modal"
+    " overlay newsletter subscribe subscription signup login search share sharing social related recommended comment comments reply replies"
+    " respond disqus pagination pager copyright disclaimer toolbar"
+    " main-nav main-navigation main-menu nav-bar nav-menu site-nav site-navigation site-header site-footer site-menu post-navigation"
+    " side-bar left-sidebar right-sidebar sidebar-left sidebar-right widget-area ad-banner ad-box ad-container ad-slot ad-unit google-ad"
+    " google-ads banner-ad adsbygoogle cookie-banner cookie-bar cookie-consent cookie-notice gdpr-banner consent-banner"
+    " newsletter-form newsletter-signup search-box search-form login-box login-form share-bar share-buttons social-buttons social-icons"
+    " social-links social-share related-articles related-posts recommended-posts comment-body comment-form comment-list comments-area"
+    " comments-section disqus-thread".split()
 )
 
+#: In an article inside a box that only its name makes clutter.
+LIFTED = -1
+
 Block = tuple[str, int | None, tuple[str, ...]]  # text, 1 kept or 0 removed by the markup, path of branches
 
 
-def _is_clutter(tag: str, attributes: str) -> bool:
+def _is_clutter(tag: str, attributes: str) -> int:
+    """2 for clutter by tag, role or attribute, 1 by a name, which an article inside overrides, else 0."""
     if tag in CLUTTER:
-        return True
-    if tag in ARTICLE or tag in ("html", "body") or not attributes.strip():
-        return False
+        return 2
+    if tag in ("html", "body") or not attributes.strip():
+        return 0
+    named = False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "role" and value.lower() in CLUTTER_ROLES:
-            return True
-        if name in ("class", "id") and CLUTTER_NAMES.search(value):
-            return True
+            return 0 if tag in ARTICLE else 2
+        if name in ("class", "id"):
+            named |= not CLUTTER_NAMES.isdisjoint(value.lower().replace("_", "-").split())
         if name == "aria-hidden" and value.lower() == "true":
-            return True
-    return bool(re.search(r"(?i)(?:^|\s)hidden(?:\s|=|/|$)", attributes))
+            return 0 if tag in ARTICLE else 2
+    hidden = tag not in ARTICLE and re.search(r"(?i)(?:^|\s)hidden(?:\s|=|/|$)", attributes)
+    return 2 if hidden else int(named)
 
 
 def _key(tag: str, attributes: str) -> str:
@@ -114,14 +128,14 @@ def _key(tag: str, attributes: str) -> str:
 
 def parse(page: str) -> tuple[list[Block], list[tuple[str, str]], list[int]]:
     """The blocks of a page in order, (path, child elements) of each element, and where each block's branch enters the article."""
-    # An open element: tag, depth of the article around it or 0, in clutter, path, child keys.
-    stack: list[tuple[str, int, bool, str, list[str]]] = [("", 0, False, "", [])]
-    blocks: list[tuple[str, int, bool, tuple[str, ...]]] = []
+    # An open element: tag, depth of the article around it or 0, in clutter (or LIFTED), path, child keys.
+    stack: list[tuple[str, int, int, str, list[str]]] = [("", 0, 0, "", [])]
+    blocks: list[tuple[str, int, int, tuple[str, ...]]] = []
     elements: list[tuple[str, str]] = []
     held: list[str] = []
-    marked = False
+    marked = clean = False
     inline_clutter = 0
-    inline_open: list[tuple[str, bool]] = []
+    inline_open: list[tuple[str, int]] = []
 
     def flush() -> None:
         text = " ".join("".join(held).split())
@@ -166,7 +180,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str]], list[int]]:
                         if name == tag:
                             break
             else:
-                clutter = _is_clutter(tag, attributes)
+                clutter = int(_is_clutter(tag, attributes) > 0)
                 inline_open.append((tag, clutter))
                 inline_clutter += clutter
             continue
@@ -194,18 +208,28 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str]], list[int]]:
         key = _key(tag, attributes)
         children.append(key)
         own = _is_clutter(tag, attributes)
-        if not article and (tag in ARTICLE or re.search(r"""(?i)\brole\s*=\s*["']?main\b""", attributes)):
+        starts = tag in ARTICLE or bool(re.search(r"""(?i)\brole\s*=\s*["']?main\b""", attributes))
+        if starts and own < 2:
+            # An article in a named box counts unless its own name says what it is, as comments do.
+            if clutter == 1 and not own:
+                clutter, article = LIFTED, len(stack)
+            own = 0
+        if starts and not article:
             article = len(stack)
-        marked |= bool(article) and not clutter and not own
+        clutter = max(clutter, own) if own else clutter
+        if article and clutter <= 0:
+            marked = True
+            clean |= tag == "article" and not clutter
         path = f"{path}/{key}" if len(stack) <= DEEPEST else path
-        stack.append((tag, article, clutter or own, path, []))
+        stack.append((tag, article, clutter, path, []))
     text_done()
     flush()
     while len(stack) > 1:
         pop()
     decided: list[Block] = []
     for text, article, clutter, path in blocks:
-        prior = 0 if clutter else 1 if article else 0 if marked else None
+        # Articles in named boxes are the page's own only if it has no others.
+        prior = 0 if clutter > 0 or clutter == LIFTED and clean else 1 if article else 0 if marked else None
         decided.append((text, prior, path))
     return decided, elements, [article for _, article, _, _ in blocks]
 

@@ -29,3 +29,26 @@ def test_boxes_inside_articles_are_removed(spark, scratch):
     whole = "Story same\n\nText number same goes on for a while, and has 1 words\n\nEnd"
     assert all(found[k] == whole for k in found if 200 <= k < 400)
     assert all(found[400 + i] == f"{whole}\n\nVersion {i}" for i in range(9))
+
+
+def kept(page):
+    return [text for text, prior, _ in html_text.parse(page)[0] if prior != 0]
+
+
+def test_names_are_whole_tokens_and_articles_override_them():
+    for name in ("site-content no-sidebar", "content has-sidebar", "post comments-open", "elementor-widget", "article-header", "section-header"):
+        assert kept(f'<div class="{name}"><article><h1>T</h1>x</article></div>') == ["T", "x"], name
+        assert kept(f'<article><div class="{name}"><h2>T</h2></div>x</article>') == ["T", "x"], name
+        assert kept(f'<div id="{name}">x</div>') == ["x"], name
+    for name in ("sidebar", "cookie-notice", "x ad", "site_footer", "Share"):
+        assert kept(f'<div class="{name}">a</div>b') == ["b"], name
+        assert kept(f'<article><div class="{name}">a</div>b</article>') == ["b"], name
+        assert kept(f'<div class="{name}">a<article>b<p>c</article>d</div>e') == ["b", "c"], name
+        assert kept(f'<div class="{name}">a<main>b<article>c</article></main></div>') == ["b", "c"], name
+    # An article elsewhere is the page's own; comments and hidden boxes are not lifted.
+    assert kept('<div class="related"><article>a</article></div><article>b</article>') == ["b"]
+    assert kept('<main>a<div class="sidebar"><article>b</article></div></main>') == ["a", "b"]
+    assert kept('<main>a<div id="comments"><article class="comment">b</article></div></main>') == ["a"]
+    assert kept('<div class="sidebar"><article>a<div class="ad">b</div><aside>c</aside>d</article></div>') == ["a", "d"]
+    assert kept("<aside><article>a</article></aside><p>b") == ["b"]
+    assert kept('<div hidden class="content"><article>a</article></div>b') == ["b"]
