@@ -3,7 +3,13 @@
 The patterns find assignments to names of secrets, access keys and runs of
 hexadecimal digits. The token-efficiency test looks at the remaining long
 unbroken strings: words of a language take few tokens of a byte-pair vocabulary
-for their length, random strings many. A string is a find if it has fewer than
+for their length, random strings many. Tested are strings of ``LEAST_LENGTH``
+characters and more that hold a digit and a letter, or a run of as many letters
+that is no word in lower case, upper case or with a capital; those shorter than
+``LONG`` need ``UNBROKEN`` letters and digits in a row, which compounds of short
+words and numbers do not have, and are left out where a fixed pattern has found
+them whole. Strings of letters in one case are not tested, as
+rare words take as many tokens. A string is a find if it has fewer than
 ``MOST_CHARS_PER_TOKEN`` characters for each token, after known digests and
 identifiers (plain numbers, hexadecimal digests of the usual lengths, UUIDs, dates
 and versions, addresses and host names, paths of words) are excluded.
@@ -19,7 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import public_tokenizers
 import pyarrow as pa
@@ -30,7 +36,9 @@ from arcweave.llm.words import column, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 KINDS = ("assign", "access", "hex", "random")
-LEAST_LENGTH = 20
+LEAST_LENGTH = 12
+LONG = 20
+UNBROKEN = 8
 MOST_CHARS_PER_TOKEN = 1.7
 
 NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -39,8 +47,10 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-#: Where both a digit and a letter stand in one unbroken string; cheap to search for.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_LENGTH},}}")
+RUN = re.compile(rf"[A-Za-z0-9]{{{UNBROKEN},}}")
+LETTERS = re.compile(rf"[A-Za-z]{{{LEAST_LENGTH},}}")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 KNOWN = re.compile(
     r"""(?ix)
     [0-9_/+=-]+                                                   # numbers and rules of signs
@@ -66,12 +76,20 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda span: (span[0], span[2]))
 
 
-def random_spans(text: str, encoder: tiktoken.Encoding) -> list[Span]:
+def _tested(string: str) -> bool:
+    if any(c.isdigit() for c in string) and any(c.isalpha() for c in string):
+        return (len(string) >= LONG or RUN.search(string) is not None) and not KNOWN.fullmatch(string)
+    return any(not WORD.fullmatch(run) for run in LETTERS.findall(string))
+
+
+def random_spans(text: str, encoder: tiktoken.Encoding, base: Sequence[Span] = ()) -> list[Span]:
     """Strings that a byte-pair vocabulary needs many tokens for."""
     found: list[Span] = []
     for m in CANDIDATE.finditer(text):
         string = m[0]
-        if not (any(c.isdigit() for c in string) and any(c.isalpha() for c in string)) or KNOWN.fullmatch(string):
+        if not _tested(string):
+            continue
+        if len(string) < LONG and any(start <= m.start() and m.end() <= end for start, end, _ in base):
             continue
         near = text[max(0, m.start() - 1) : m.start()] + text[m.end() : m.end() + 1]
         if "@" in near:
@@ -116,7 +134,7 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
             for string in column(batch, text).to_pylist():
                 string = string or ""
                 base = base_spans(string)
-                spans = sorted(base + random_spans(string, encoder), key=lambda span: (span[0], span[2]))
+                spans = sorted(base + random_spans(string, encoder, base), key=lambda span: (span[0], span[2]))
                 counts = [sum(kind == k for _, _, kind in base) for k in range(3)]
                 digest = hashlib.sha256(spelled(base).encode()).hexdigest()
                 rows.append((*counts, digest, spelled(spans), redacted(string, spans, mark) if spans else None))
