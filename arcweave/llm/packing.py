@@ -9,9 +9,10 @@ ever gathered or sorted as a whole.
 
 Search: branch and bound by bin completion. Around the largest length left,
 fillings that no other filling dominates are enumerated, fullest first, and
-applied to as many sequences as their rarest length allows. A branch is cut when
-the sequences used plus the lower bound for the rest (tokens left over capacity,
-or pieces over half the capacity) reach the incumbent. The first incumbent is
+applied to as many sequences as their rarest length allows; of them one for each
+room left, ``TRIED`` steps and ``CHILDREN`` in all, so the search is not exact. A
+branch is cut when the sequences used plus the tokens left over capacity reach
+the incumbent. The first incumbent is
 best-fit decreasing; the search stops when an incumbent meets the lower bound of the
 whole or after ``NODES`` nodes, and then keeps the best so far.
 
