@@ -15,7 +15,8 @@
    document id.
 
 The number of links inside one group of near copies is quadratic by its
-nature; so are the comparisons, never the rows.
+nature; so are the comparisons. Rows made are not, but rows moved are: each class of
+a cluster of n is shuffled with its set once for each of the ceil(n / BLOCK) blocks.
 
 Defined results: a null text is an empty one; a text without words links with
 nothing; one of fewer than five words has one shingle, all its words; a null
