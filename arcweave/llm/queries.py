@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arcweave.llm import chat_format, decontaminate, html_text, jaccard_join, packing, quality_rules, secrets, token_files, toxicity, warc
+from arcweave.llm import (
+    centroids,
+    chat_format,
+    covering_simhash,
+    decontaminate,
+    html_text,
+    jaccard_join,
+    packing,
+    quality_rules,
+    secrets,
+    spelling,
+    token_files,
+    toxicity,
+    warc,
+)
 from arcweave.scratch import Scratch
 
 
@@ -150,6 +164,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's cluster after five rounds, with its distance and the clusters' inertia."""
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
+def op12_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's fingerprint and the component of near duplicates it is in."""
+    return covering_simhash.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word of the documents with the form it is a variant of."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_token_files": op2_token_files,
@@ -161,5 +190,8 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_centroids": op11_centroids,
+    "op12_covering_simhash": op12_covering_simhash,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": pipeline,
 }

@@ -115,14 +115,16 @@ def words_of(texts: pa.Array) -> Words:
     return Words(folded, start, end, np.searchsorted(start, bounds), _hashes(folded, start, end))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most_rows: int = 512) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str, most_rows: int = 512, most_bytes: int | None = None
+) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded bytes of text."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < batch.num_rows:
-            limit = (ends[at - 1] if at else 0) + SLICE_BYTES
+            limit = (ends[at - 1] if at else 0) + (most_bytes or SLICE_BYTES)
             stop = min(max(int(np.searchsorted(ends, limit, "right")), at + 1), at + most_rows)
             yield batch.slice(at, stop - at)
             at = stop
