@@ -247,10 +247,9 @@ def row_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edge_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges_binary.register(spark)
     path = Scratch(spark).folder("edges")
-    views.order_part_edges(spark, sf_dir).write.format("edges_bin").mode("append").save(path)
-    return spark.read.format("edges_bin").load(path)
+    edges_binary.write_edges(views.order_part_edges(spark, sf_dir), path)
+    return edges_binary.read_edges(spark, path)
 
 
 def edge_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

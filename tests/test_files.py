@@ -14,64 +14,123 @@ from arcweave.sources import edges_binary, edges_text, matrix_text
 G1 = [(1, 2), (2, 3), (3, 4), (7, 8), (5, 5)]
 
 
-@pytest.fixture
-def edges_format(spark):
-    edges_binary.register(spark)
-
-
 def write_binary(path, edges, extra=b""):
     path.write_bytes(b"".join(struct.pack("<qq", a, b) for a, b in edges) + extra)
     return str(path)
 
 
-def test_binary_edges(spark, scratch, tmp_path, edges_format):
-    wide = G1 + [(0, (1 << 63) - 1), (-(1 << 63), 3)]
+def test_binary_edges(spark, scratch, tmp_path):
+    wide = G1 + [(0, (1 << 63) - 1), (-(1 << 63), 3), (-1, -2)]
     path = write_binary(tmp_path / "graph.bin", wide)
-    reader = spark.read.format("edges_bin")
-    assert sorted(map(tuple, reader.load(path).collect())) == sorted(wide)
-    # Ranges of two records (a size in between is rounded down) and a short last one.
-    split = reader.option("partitionBytes", 40).load(path)
+    whole = edges_binary.read_edges(spark, path)
+    assert sorted(map(tuple, whole.collect())) == sorted(wide)
+    # Ranges of two records (a size in between is rounded down).
+    split = edges_binary.read_edges(spark, path, partition_bytes=40)
     assert split.rdd.getNumPartitions() == 4
     assert sorted(map(tuple, split.collect())) == sorted(wide)
-    summary = bfs.search(bfs.build_graph(reader.load(path), scratch), 1).summary().first()
-    assert (summary.vertices, summary.reached, summary.max_level) == (10, 5, 3)
+    summary = bfs.search(bfs.build_graph(whole, scratch), 1).summary().first()
+    assert (summary.vertices, summary.reached, summary.max_level) == (12, 5, 3)
 
 
-def test_binary_edges_of_an_empty_file(spark, scratch, tmp_path, edges_format):
-    edges = spark.read.format("edges_bin").load(write_binary(tmp_path / "none.bin", []))
+def test_binary_edges_of_an_empty_file(spark, scratch, tmp_path):
+    edges = edges_binary.read_edges(spark, write_binary(tmp_path / "none.bin", []))
     summary = bfs.search(bfs.build_graph(edges, scratch), 0).summary().first()
     assert tuple(summary) == (0, 0, 0, 0, -1)
 
 
-def test_stray_bytes_are_refused(spark, tmp_path, edges_format):
+def test_stray_bytes_are_refused(spark, tmp_path):
     path = write_binary(tmp_path / "odd.bin", G1, b"xyz")
-    with pytest.raises(PySparkException, match="leave 3 after whole 16-byte records"):
-        spark.read.format("edges_bin").load(path).collect()
-
-
-def test_binary_edges_are_written(spark, tmp_path, edges_format):
+    with pytest.raises(ValueError, match="leave 3 after whole 16-byte records"):
+        edges_binary.read_edges(spark, path)
+    with pytest.raises(FileNotFoundError):
+        edges_binary.read_edges(spark, str(tmp_path / "absent"))
+
+
+def test_binary_edges_are_read_without_python_and_by_hadoop_paths(spark, tmp_path):
+    folder = tmp_path / "other program"
+    (folder / "deep").mkdir(parents=True)
+    write_binary(folder / "a.bin", G1[:2])
+    write_binary(folder / "deep" / "b.bin", G1[2:])
+    write_binary(folder / "_hidden", [(9, 9)])
+    for path in (str(folder), f"file:{folder}", f"file://{folder}/"):
+        edges = edges_binary.read_edges(spark, path)
+        assert sorted(map(tuple, edges.collect())) == sorted(G1)
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    # Another scheme goes to the file system that Spark knows for it.
+    spark._jsc.hadoopConfiguration().set("fs.elsewhere.impl", "no.such.FileSystem")
+    with pytest.raises(Exception, match="no.such.FileSystem"):
+        edges_binary.read_edges(spark, "elsewhere://bucket/graph.bin")
+    # Appending keeps the files that were there.
+    edges_binary.write_edges(spark.createDataFrame([(4, 4)], "src bigint, dst bigint"), str(folder), "append")
+    assert sorted(map(tuple, edges_binary.read_edges(spark, str(folder)).collect())) == sorted([*G1, (4, 4)])
+
+
+def stored(spark, path):
+    return sorted(map(tuple, edges_binary.read_edges(spark, path).collect()))
+
+
+def test_binary_edges_are_written(spark, tmp_path):
     path = str(tmp_path / "out")
     edges = spark.range(1000).select(F.col("id").alias("src"), (F.col("id") * 3).alias("dst"))
-
-    def stored():
-        return sorted(map(tuple, spark.read.format("edges_bin").load(path).collect()))
-
     want = [(i, 3 * i) for i in range(1000)]
-    edges.repartition(3).write.format("edges_bin").mode("append").save(path)
-    assert stored() == want
-    assert sum(f.stat().st_size for f in (tmp_path / "out").iterdir()) == 16_000
-    edges.write.format("edges_bin").mode("append").save(path)
-    assert len(stored()) == 2000
-    edges.write.format("edges_bin").mode("overwrite").save(path)
-    assert stored() == want
-
-
-def test_binary_writer_refuses_other_tables(spark, tmp_path, edges_format):
-    with pytest.raises(PySparkException, match="src bigint, dst bigint"):
-        spark.range(3).write.format("edges_bin").mode("append").save(str(tmp_path / "x"))
+    edges_binary.write_edges(edges.repartition(3), path)
+    assert stored(spark, path) == want
+    parts = [f for f in (tmp_path / "out").rglob("part-*")]
+    assert sum(f.stat().st_size for f in parts) == 16_000
+    raw = b"".join(f.read_bytes() for f in parts)
+    assert sorted(struct.iter_unpack("<qq", raw)) == want
+    with pytest.raises(FileExistsError):
+        edges_binary.write_edges(edges, path)
+    edges_binary.write_edges(edges, path, "append")
+    assert len(stored(spark, path)) == 2000
+    edges_binary.write_edges(edges.where("src < 0"), path, "append")
+    assert len(stored(spark, path)) == 2000
+    edges_binary.write_edges(edges, path, "overwrite")
+    assert stored(spark, path) == want
+    assert len([f for f in (tmp_path / "out").iterdir() if f.name.startswith("batch-")]) == 1
+    odd = [(a, b) for a in (-1, 0, 10, 1 << 62) for b in (-(1 << 63), -1, 0, 0x0A0D0A0D0A0D0A0D, (1 << 56) - 1, (1 << 63) - 1)]
+    edges_binary.write_edges(spark.createDataFrame(odd * 2, "src bigint, dst bigint"), path, "overwrite")
+    assert stored(spark, path) == sorted(odd * 2)
+    edges_binary.write_edges(edges.where("src < 0"), str(tmp_path / "empty"))
+    assert stored(spark, str(tmp_path / "empty")) == []
+
+
+def test_failed_writes_change_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    first = spark.createDataFrame([(1, 2)], "src bigint, dst bigint")
+    second = spark.createDataFrame([(3, 4)], "src bigint, dst bigint")
+    edges_binary.write_edges(first, path)
+
+    def lost(*_, **__):
+        raise OSError("the driver is gone")
+
+    for mode in ("append", "overwrite"):
+        # The data are there, the commit is not.
+        with monkeypatch.context() as patch, pytest.raises(OSError, match="driver"):
+            patch.setattr(edges_binary._Folder, "publish", lost)
+            edges_binary.write_edges(second, path, mode)
+        assert stored(spark, path) == [(1, 2)]
+    # A task fails.
+    broken = second.select(F.raise_error(F.lit("bad row")).cast("bigint").alias("src"), "dst")
+    with pytest.raises(PySparkException, match="bad row"):
+        edges_binary.write_edges(broken, path, "overwrite")
+    assert stored(spark, path) == [(1, 2)]
+    # Published, but the old files are still there.
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="driver"):
+        patch.setattr(edges_binary._Folder, "forget", lost)
+        edges_binary.write_edges(second, path, "overwrite")
+    assert stored(spark, path) == [(3, 4)]
+    edges_binary.write_edges(first, path, "append")
+    assert stored(spark, path) == [(1, 2), (3, 4)]
+
+
+def test_binary_writer_refuses_other_tables(spark, tmp_path):
+    with pytest.raises(ValueError, match="src bigint, dst bigint"):
+        edges_binary.write_edges(spark.range(3), str(tmp_path / "x"))
     gap = spark.createDataFrame([(1, None)], "src bigint, dst bigint")
     with pytest.raises(PySparkException, match="no id at one end"):
-        gap.write.format("edges_bin").mode("append").save(str(tmp_path / "y"))
+        edges_binary.write_edges(gap, str(tmp_path / "y"))
 
 
 def test_tsv_edges(spark, tmp_path):
