@@ -112,7 +112,7 @@ def build_graph(
     vertices = degrees(layout)
     if hub_arcs is not None:
         vertices = vertices.unionByName(degrees(hub_arcs))
-    vertices = scratch.save(vertices, "vertices")
+    vertices = scratch.save(vertices, "vertices", bucket_by="vertex_id", buckets=buckets)
     return Graph(spark, scratch, vertices, layout, buckets, hub_arcs, hub_ids)
 
 
@@ -332,34 +332,31 @@ def search(graph: Graph, root: int, narrow: int = NARROW) -> Search:
 
 
 def search_by_scan(graph: Graph, root: int) -> DataFrame:
-    """Levels ``(vertex_id, level)`` by rescanning the state of every vertex.
+    """Levels ``(vertex_id, level)`` by rescanning the state of every reached vertex.
 
-    The slower method: each round selects the vertices at the current level,
-    and rewrites the whole state with their unreached neighbours one level
-    deeper. It shares no pruning with ``search`` and serves to check it.
+    The slower method, to check ``search``: it shares no pruning with it. Each
+    round selects the vertices at the current level from the whole state and
+    holds all their neighbours against the whole state. The state is a table in
+    as many hash buckets as the arcs; new levels are appended to it, and the
+    candidates are shuffled to its buckets, so it is neither moved nor rewritten.
     """
-    scratch = graph.scratch
-    unreached = F.lit(UNREACHED).cast("bigint")
-    start = F.when(F.col("vertex_id") == root, F.lit(0).cast("bigint")).otherwise(unreached)
-    state = scratch.save(graph.vertices.select("vertex_id", start.alias("level")), "state")
+    scratch, spark = graph.scratch, graph.spark
+    first = spark.createDataFrame([(root, 0)] if has_vertex(graph, root) else [], _LEVELS)
+    state = scratch.save(first, "state", bucket_by="vertex_id", buckets=graph.buckets)
     for level in count(0):
-        active = frontier_of(
-            state.where(F.col("level") == level).select("vertex_id"), narrow=0
-        )
+        active = frontier_of(state.where(F.col("level") == level).select("vertex_id"), narrow=0)
         if active.rows == 0:
-            return state
-        touched = neighbors(graph, active).distinct().withColumn("touched", F.lit(True))
-        found = (F.col("level") == UNREACHED) & F.col("touched")
-        state = scratch.save(
-            state.join(touched, "vertex_id", "left").select(
-                "vertex_id",
-                F.when(found, F.lit(level + 1).cast("bigint"))
-                .otherwise(F.col("level"))
-                .alias("level"),
-            ),
-            "state",
-            replaces=state,
-        )
+            break
+        state = scratch.append(state, untouched(graph, active, state).withColumn("level", F.lit(level + 1).cast("bigint")))
+    return graph.vertices.join(state, "vertex_id", "left").select(
+        "vertex_id", F.coalesce("level", F.lit(UNREACHED).cast("bigint")).alias("level")
+    )
+
+
+def untouched(graph: Graph, active: Frontier, state: DataFrame) -> DataFrame:
+    """Neighbours of the active vertices that the bucketed ``state`` has not, each once."""
+    candidates = neighbors(graph, active).repartition(graph.buckets, "vertex_id").distinct()
+    return candidates.join(state.select("vertex_id"), "vertex_id", "left_anti")
 
 
 def initial_state(vertices: DataFrame) -> DataFrame:

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from arcweave.operators.running import exclusive_running
-from arcweave.operators.skew import HEAVY_FLOOR, heavy_keys, join_unique
+from arcweave.operators.skew import BROADCAST_ROWS, HEAVY_FLOOR, heavy_keys, join_unique
+from arcweave.scratch import Scratch
 
 # Neighbours per adjacency row; a vertex with more gets several rows.
 ADJACENCY_BLOCK = 1 << 20
 
+# Probe ids of a look-up that become literals of the scan.
+LITERAL_PROBES = 256
+
 # Copies of one arc emitted per row while expanding multi-edges.
 COPIES_PER_PIECE = 1 << 18
 
@@ -66,12 +70,40 @@ def graph_stats(vertices: DataFrame) -> DataFrame:
     )
 
 
-def lookup(vertices: DataFrame, probes: DataFrame) -> DataFrame:
+def bucketed_vertices(degrees: DataFrame, scratch: Scratch, buckets: int | None = None) -> DataFrame:
+    """The vertex table written in hash buckets of the id, for any number of look-ups."""
+    spark = degrees.sparkSession
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), most)
+    laid_out = degrees.repartition(buckets, "vertex_id")
+    return scratch.save(laid_out, "vertices", bucket_by="vertex_id", buckets=buckets)
+
+
+def lookup(
+    vertices: DataFrame,
+    probes: DataFrame,
+    literal: int = LITERAL_PROBES,
+    broadcast_rows: int = BROADCAST_ROWS,
+    heavy_floor: int = HEAVY_FLOOR,
+) -> DataFrame:
     """Find vertices by id: each probe id with its degree, null if absent.
 
-    The size of ``vertices`` is checked at once, so it is best a written table.
+    The distinct probe ids are counted at once and reduce the vertices before
+    anything else: a handful are literals, which prune buckets, row groups and
+    pages of the scan; up to ``broadcast_rows`` are broadcast and filter it. What
+    is found then is at most as much and goes to the probes. The vertices are
+    not shuffled either way. More probes are shuffled on the id; a table from
+    ``bucketed_vertices`` still stays where it is.
     """
-    return join_unique(probes, vertices, "vertex_id", "left")
+    wanted = probes.select("vertex_id").where("vertex_id is not null").distinct()
+    few = wanted.limit(literal + 1).collect()
+    if len(few) <= literal:
+        found = vertices.where(F.col("vertex_id").isin([r.vertex_id for r in few]))
+        return probes.join(F.broadcast(found), "vertex_id", "left")
+    if wanted.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        found = vertices.join(F.broadcast(wanted), "vertex_id", "left_semi")
+        return probes.join(F.broadcast(found), "vertex_id", "left")
+    return join_unique(probes, vertices, "vertex_id", "left", heavy_floor, broadcast_rows)
 
 
 def visit(vertices: DataFrame, *exprs: Column) -> DataFrame:

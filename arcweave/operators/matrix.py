@@ -10,11 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from arcweave.operators.skew import BROADCAST_ROWS, HEAVY_FLOOR, join_unique
+from arcweave.scratch import Scratch
 from arcweave.session import require_ansi
 
-# Widest dense row: the vector then is one array of at most 32 MB.
+# Columns per block of a wide dense product: 32 MB of the vector.
 DENSE_WIDTH = 1 << 22
 
+# Columns whose part of the vector is broadcast at a time, 128 MB.
+PASS_WIDTH = 1 << 24
+
 # Entries per dense block when coordinates are gathered into arrays.
 ROW_BLOCK = 1 << 16
 
@@ -129,50 +133,50 @@ def matvec(
 
 
 def matvec_broadcast(matrix: DataFrame, vector: DataFrame) -> DataFrame:
-    """``matvec`` with the vector replicated to every executor.
-
-    A vector of over ``BROADCAST_ROWS`` rows is not replicated; the product then
-    goes on with both sides shuffled, with the same result.
-    """
+    """The same as ``matvec``, which replicates a vector of up to ``BROADCAST_ROWS`` rows."""
     return matvec(matrix, vector)
 
 
 def vector_array(vector: DataFrame, n_cols: int | None = None) -> DataFrame:
     """A vector as one row ``(values array<bigint>)``, ordered by index.
 
-    With ``n_cols`` the indices must be exactly 0 to ``n_cols`` - 1.
+    As large as one dense matrix row, so meant for rows of up to some millions of
+    columns; ``matvec_wide`` takes a vector of any length as it is. With ``n_cols``
+    the indices must be exactly 0 to ``n_cols`` - 1. A null element raises.
     """
-    rows = vector.count()
-    if rows > DENSE_WIDTH:
-        raise ValueError(
-            f"a dense vector has at most {DENSE_WIDTH} elements: use to_coo and matvec"
-        )
-    if n_cols is not None and rows != n_cols:
-        raise ValueError(f"the vector has {rows} elements, expected {n_cols}")
-    ordered = F.array_sort(F.collect_list(F.struct("idx", "value")))
-    return vector.agg(ordered.alias("cells")).select(
+    if n_cols is not None:
+        rows = vector.count()
+        if rows != n_cols:
+            raise ValueError(f"the vector has {rows} elements, expected {n_cols}")
+    problem = F.raise_error(F.lit("a matrix cell or vector element is null")).cast("bigint")
+    cell = F.struct("idx", F.coalesce(F.col("value").cast("bigint"), problem).alias("value"))
+    return vector.agg(F.array_sort(F.collect_list(cell)).alias("cells")).select(
         F.col("cells.value").cast("array<bigint>").alias("values")
     )
 
 
+def _dot(factor: Column) -> Column:
+    terms = F.zip_with("values", factor, lambda a, b: a.cast("bigint") * b)
+    return F.aggregate(terms, F.lit(0).cast("bigint"), lambda total, term: total + term)
+
+
 def matvec_dense(rows: DataFrame, vector: DataFrame) -> DataFrame:
     """``(row_id, value)``: dense rows times a one-row table ``(values array)``.
 
     The vector is as wide as one matrix row, so it travels as a scalar subquery
     value and every row is multiplied where it lies: no join and no shuffle.
-    Rows of another width raise.
+    Rows of another width raise, and so do nulls.
     """
     require_ansi(rows.sparkSession)
-    factor = vector.select(F.col("values").cast("array<bigint>")).scalar()
+    hole = F.raise_error(F.lit("a matrix cell or vector element is null"))
+    whole = F.when(F.exists("values", lambda x: x.isNull()), hole.cast("array<bigint>"))
+    # The vector's own nulls are looked for once, where it is made.
+    factor = vector.select(
+        whole.otherwise(F.col("values").cast("array<bigint>")).alias("values")
+    ).scalar()
     with_factor = rows.select("row_id", "values", factor.alias("factor"))
-    dot = F.aggregate(
-        F.zip_with("values", "factor", lambda a, b: a.cast("bigint") * b),
-        F.lit(0).cast("bigint"),
-        lambda total, term: total + term,
-    )
-    hole = F.raise_error(F.lit("a matrix cell or vector element is null")).cast("bigint")
-    holes = F.exists("values", lambda x: x.isNull()) | F.exists("factor", lambda x: x.isNull())
-    dot = F.when(holes, hole).otherwise(dot)
+    holes = F.exists("values", lambda x: x.isNull())
+    dot = F.when(holes, hole.cast("bigint")).otherwise(_dot(F.col("factor")))
     fits = F.size("values") == F.size("factor")
     problem = F.raise_error(F.lit("a matrix row and the vector differ in width"))
     return with_factor.select(
@@ -180,32 +184,69 @@ def matvec_dense(rows: DataFrame, vector: DataFrame) -> DataFrame:
     )
 
 
-def matvec_wide(rows: DataFrame, vector: DataFrame, width: int = DENSE_WIDTH) -> DataFrame:
+def matvec_wide(
+    rows: DataFrame,
+    vector: DataFrame,
+    width: int = DENSE_WIDTH,
+    pass_width: int = PASS_WIDTH,
+    scratch: Scratch | None = None,
+) -> DataFrame:
     """``(row_id, value)``: dense rows of any width times ``(idx, value)``.
 
-    Rows and vector are cut into blocks of ``width`` columns that meet in a join;
-    the partial products of a row are added. The vector's indices must be 0 to
-    the rows' width - 1, else this raises.
+    Rows are cut into blocks of ``width`` columns where they lie. The vector's
+    blocks are broadcast ``pass_width`` columns at a time, so that what is
+    broadcast is bounded for any width: each pass reads the rows once and leaves
+    one partial sum for each row. Only these sums are shuffled. A vector of one
+    pass, the usual case, is one lazy plan; more passes are run at once and keep
+    their sums in ``scratch``. The vector's indices must be 0 to the rows' width
+    - 1, each once, and nothing null, else this raises.
     """
     require_ansi(rows.sparkSession)
-    last = F.floor((F.size("values") - 1) / F.lit(width)).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice("values", b * width + 1, width))
-    blocks = rows.where(F.size("values") > 0).select("row_id", F.posexplode(cut).alias("block_no", "values"))
-    cells = F.array_sort(F.collect_list(F.struct("idx", "value")))
-    factors = vector.groupBy(F.floor(F.col("idx") / width).cast("int").alias("block_no")).agg(cells.alias("cells"))
-    # A block has the indices from its first one on, each once, and no null.
-    sound = F.forall(
-        F.transform("cells", lambda cell, i: (cell["idx"] == F.col("block_no").cast("bigint") * width + i) & cell["value"].isNotNull()),
-        lambda right: F.coalesce(right, F.lit(False)),
+    n_cols = vector.count()
+    step = max(1, pass_width // width)
+    starts = range(0, max(1, -(-n_cols // width)), step)
+    if len(starts) > 1 and scratch is None:
+        raise ValueError(f"a vector of {n_cols} elements takes {len(starts)} passes: give a Scratch")
+    wrong = F.raise_error(F.lit("a matrix row and the vector differ in width or have nulls")).cast("bigint")
+
+    def sums(first: int) -> DataFrame:
+        last = F.least(F.floor((F.size("values") - 1) / F.lit(width)).cast("int"), F.lit(first + step - 1))
+        numbers = F.sequence(F.lit(first), last)
+        cut = F.transform(numbers, lambda b: F.struct(b.alias("block_no"), F.slice("values", b * width + 1, width).alias("values")))
+        fits = F.size("values") == n_cols
+        # Rows of another width, and empty ones, keep one row that shows it.
+        odd = F.array(F.struct(F.lit(-1).alias("block_no"), F.array().cast("array<bigint>").alias("values")))
+        whole = F.transform("values", lambda x: x.cast("bigint"))
+        blocks = rows.select("row_id", whole.alias("values")).select(
+            "row_id", fits.alias("fits"), F.inline(F.when(fits & (F.size("values") > 0), cut).otherwise(odd))
+        )
+        joined = blocks.join(F.broadcast(_vector_blocks(vector, width, first, step)), "block_no", "left")
+        right = (F.size("cells") == F.size("values")) & F.col("sound") & F.forall("values", lambda x: x.isNotNull())
+        empty = F.col("fits") & (F.col("block_no") < 0)
+        part = F.when(empty, F.lit(0).cast("bigint")).when(F.coalesce(right, F.lit(False)), _dot(F.col("cells.value"))).otherwise(wrong)
+        return joined.select("row_id", part.alias("part")).groupBy("row_id").agg(F.sum("part").alias("value"))
+
+    parts = [sums(first) for first in starts]
+    if len(parts) == 1:
+        return parts[0]
+    saved = [scratch.save(part, "wide_sums") for part in parts]
+    together = saved[0]
+    for more in saved[1:]:
+        together = together.unionByName(more)
+    return together.groupBy("row_id").agg(F.sum("value").alias("value"))
+
+
+def _vector_blocks(vector: DataFrame, width: int, first: int, step: int) -> DataFrame:
+    """``(block_no, cells, sound)`` of ``step`` blocks; sound ones have each index once and no null."""
+    cells = F.array_sort(F.collect_list(F.struct("idx", F.col("value").cast("bigint").alias("value"))))
+    low, high = first * width, (first + step) * width
+    block = F.floor(F.col("idx") / width).cast("int").alias("block_no")
+    found = vector.where(F.col("idx").between(low, high - 1)).groupBy(block).agg(cells.alias("cells"))
+    placed = F.transform(
+        "cells",
+        lambda cell, i: (cell["idx"] == F.col("block_no").cast("bigint") * width + i) & cell["value"].isNotNull(),
     )
-    joined = blocks.join(factors, "block_no", "left")
-    terms = F.zip_with("values", F.col("cells.value"), lambda a, b: a.cast("bigint") * b)
-    dot = F.aggregate(terms, F.lit(0).cast("bigint"), lambda total, term: total + term)
-    fits = F.coalesce((F.size("cells") == F.size("values")) & sound & F.forall("values", lambda x: x.isNotNull()), F.lit(False))
-    problem = F.raise_error(F.lit("a matrix row and the vector differ in width or have nulls")).cast("bigint")
-    parts = joined.select("row_id", F.when(fits, dot).otherwise(problem).alias("part"))
-    empty = rows.where(F.size("values") == 0).select("row_id", F.lit(0).cast("bigint").alias("part"))
-    return parts.unionByName(empty).groupBy("row_id").agg(F.sum("part").alias("value"))
+    return found.select("block_no", "cells", F.forall(placed, lambda right: F.coalesce(right, F.lit(False))).alias("sound"))
 
 
 def in_row_order(result: DataFrame) -> DataFrame:

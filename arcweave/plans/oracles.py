@@ -171,6 +171,7 @@ ORACLES: dict[str, str] = {
     FROM m JOIN v ON m.col_id = v.idx""",
     "matvec_sorted": f"{_SPARSE} ORDER BY m.row_id",
     "matvec_dense": _DENSE,
+    "matvec_wide": _DENSE,
     "matrix_to_coo": f"WITH {_CELLS} SELECT row_id, col_id, value FROM cells",
     "matrix_transpose": f"""
     WITH {_CELLS} SELECT col_id AS row_id, row_id AS col_id, value FROM cells""",

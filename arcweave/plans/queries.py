@@ -69,7 +69,8 @@ def vertex_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order looked up as a vertex; those without lines are absent."""
     orders = views.table(spark, sf_dir, "orders")
     probes = orders.select((F.col("o_orderkey") * 2).alias("vertex_id"))
-    return graph.lookup(_written_degrees(spark, sf_dir), probes)
+    vertices = graph.bucketed_vertices(_degrees(spark, sf_dir), Scratch(spark))
+    return graph.lookup(vertices, probes)
 
 
 def vertex_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +215,12 @@ def matvec_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def matvec_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense product in blocks of 16 columns, 32 columns of the vector at a time."""
+    rows, cells = views.embedding_rows(spark, sf_dir), views.first_embedding_cells(spark, sf_dir)
+    return matrix.matvec_wide(rows, cells, width=16, pass_width=32, scratch=Scratch(spark))
+
+
 def matrix_to_coo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.to_coo(views.embedding_rows(spark, sf_dir))
 
@@ -274,9 +281,9 @@ def matvec_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matrix text in, product computed, vector text out and read again."""
     scratch = Scratch(spark)
     text = matrix_text.read_matrix_text(spark, _written_text(spark, sf_dir, scratch), scratch)
-    product = matrix.matvec(matrix.to_coo(text.rows), text.vector)
+    product = matrix.matvec_dense(text.rows, matrix.vector_array(text.vector, text.n_cols))
     path = scratch.folder("output")
-    matrix_text.write_vector_text(product, path)
+    matrix_text.write_vector_text(product, path, text.n_rows)
     return matrix_text.read_vector_text(spark, path, scratch)
 
 
@@ -325,6 +332,7 @@ QUERIES: dict[str, Query] = {
         matvec_products,
         matvec_sorted,
         matvec_dense,
+        matvec_wide,
         matrix_to_coo,
         matrix_transpose,
         matrix_column_blocks,

@@ -35,7 +35,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self._tables: dict[int, tuple[str, DataFrame]] = {}
+        self._tables: dict[int, tuple[str, DataFrame, str | None, int]] = {}
         self.name = f"arcweave_{uuid.uuid4().hex[:12]}"
         location = f"{root.rstrip('/') if root else scratch_root(spark)}/{self.name}"
         quoted = location.replace("\\", "\\\\").replace("'", "\\'")
@@ -70,14 +70,26 @@ class Scratch:
         before, possibly read by ``df``, that is dropped afterwards.
         """
         table = f"{self.name}.{label}_{uuid.uuid4().hex[:8]}"
-        writer = df.write.format("parquet")
+        self._write(df, table, bucket_by, buckets)
+        if replaces is not None:
+            self.spark.sql(f"DROP TABLE {self._tables.pop(id(replaces))[0]}")
+        return self._known(table, bucket_by, buckets)
+
+    def append(self, saved: DataFrame, df: DataFrame) -> DataFrame:
+        """Add the rows of ``df`` to a table saved before, in its own layout, and return it anew."""
+        table, _, bucket_by, buckets = self._tables.pop(id(saved))
+        self._write(df, table, bucket_by, buckets)
+        return self._known(table, bucket_by, buckets)
+
+    def _write(self, df: DataFrame, table: str, bucket_by: str | None, buckets: int) -> None:
+        writer = df.write.format("parquet").mode("append")
         if bucket_by is not None:
             writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
         writer.saveAsTable(table)
-        if replaces is not None:
-            self.spark.sql(f"DROP TABLE {self._tables.pop(id(replaces))[0]}")
+
+    def _known(self, table: str, bucket_by: str | None, buckets: int) -> DataFrame:
         saved = self.spark.table(table)
-        self._tables[id(saved)] = (table, saved)
+        self._tables[id(saved)] = (table, saved, bucket_by, buckets)
         return saved
 
     def close(self) -> None:

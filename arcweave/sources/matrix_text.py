@@ -157,18 +157,22 @@ def write_matrix_text(rows: DataFrame, vector: DataFrame, path: str) -> None:
 def write_vector_text(result: DataFrame, path: str, n_rows: int | None = None) -> None:
     """Write a result vector, one number per line in row order.
 
-    The part files are in order: read one after the other they are the vector.
-    With ``n_rows`` there is a line for each row from 0 to ``n_rows`` - 1, with 0
-    for rows the result lacks; other ids and repeated ones raise.
+    The part files are in order: read one after the other they are the vector,
+    with line k for row k. Row ids must be different and not negative. With
+    ``n_rows`` there is a line for each row from 0 to ``n_rows`` - 1, with 0 for
+    rows the result lacks, and larger ids raise. Without it the ids must be 0, 1,
+    2, ... without a gap: a missing row raises instead of shifting those after it.
     """
+    total, least, most, distinct = result.agg(
+        F.count("*"), F.min("row_id"), F.max("row_id"), F.count_distinct("row_id")
+    ).first()
+    if distinct != total:
+        raise ValueError(f"{total} rows have {distinct} different ids")
+    if total and (least < 0 or n_rows is not None and most >= n_rows):
+        raise ValueError(f"row ids from {least} to {most}, expected 0 to {n_rows - 1 if n_rows is not None else total - 1}")
+    if n_rows is None and total and most != total - 1:
+        raise ValueError(f"{total} rows have ids up to {most}: give n_rows to fill the gaps with 0")
     if n_rows is not None:
-        total, least, most, distinct = result.agg(
-            F.count("*"), F.min("row_id"), F.max("row_id"), F.count_distinct("row_id")
-        ).first()
-        if total and (least < 0 or most >= n_rows):
-            raise ValueError(f"row ids from {least} to {most}, expected 0 to {n_rows - 1}")
-        if distinct != total:
-            raise ValueError(f"{total} rows have {distinct} different ids")
         every = result.sparkSession.range(n_rows).withColumnRenamed("id", "row_id")
         result = every.join(result, "row_id", "left").select(
             "row_id", F.coalesce("value", F.lit(0)).alias("value")

@@ -1,3 +1,4 @@
+import dataclasses
 import random
 
 import pytest
@@ -153,6 +154,24 @@ def test_scan_method_agrees(spark, scratch):
     assert row.mismatches == 0 and row.reached == row.other_reached
 
 
+def test_scan_method_leaves_its_state_in_place(spark, scratch):
+    built = bfs.build_graph(edges_df(spark, skewed_edges()), scratch)
+    wide = dataclasses.replace(built, buckets=built.buckets)
+    state = scratch.save(built.vertices.selectExpr("vertex_id", "1L AS level"), "state", "vertex_id", wide.buckets)
+    active = bfs.Frontier(bfs.BROADCAST_ROWS + 1, table=state.select("vertex_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = bfs.untouched(wide, active, state)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Only the candidates are shuffled: not the arcs, and the state neither as frontier nor as what is known.
+    assert plan.count("Exchange") == 1 and plan.count("Scan parquet") == 3
+    grown = scratch.append(state, spark.createDataFrame([(10**9, 2)], "vertex_id bigint, level bigint"))
+    assert grown.count() == built.vertices.count() + 1
+    absent = bfs.search_by_scan(built, 10**9)
+    assert absent.where("level <> -1").isEmpty() and absent.count() == built.vertices.count()
+
+
 def test_comparison_finds_differences(spark):
     left = spark.createDataFrame([(1, 0), (2, 1), (3, -1)], "vertex_id bigint, level bigint")
     right = spark.createDataFrame([(1, 0), (2, 2), (4, 1)], "vertex_id bigint, level bigint")

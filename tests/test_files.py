@@ -177,6 +177,24 @@ def test_matrix_text_over_many_splits(spark, scratch, tmp_path):
     assert {r.row_id: r.value for r in again.collect()} == dict(enumerate(want))
 
 
+def test_vector_sink_does_not_shift_rows(spark, tmp_path):
+    def vector(*rows):
+        return spark.createDataFrame(list(rows), "row_id bigint, value bigint")
+
+    def written(df, name, n_rows=None):
+        matrix_text.write_vector_text(df, str(tmp_path / name), n_rows)
+        return [int(x) for f in sorted((tmp_path / name).glob("part-*")) for x in f.read_text().split()]
+
+    assert written(vector((1, 7), (0, 5), (2, 9)), "whole") == [5, 7, 9]
+    assert written(vector((3, 7), (0, 5)), "filled", 5) == [5, 0, 0, 7, 0]
+    assert written(vector((0, 1)).where("false"), "empty") == []
+    for rows in ([(0, 1), (2, 3)], [(1, 1)], [(-1, 1), (0, 2)], [(0, 1), (0, 2)]):
+        with pytest.raises(ValueError, match="ids"):
+            written(vector(*rows), "bad")
+    with pytest.raises(ValueError, match="expected 0 to 1"):
+        written(vector((0, 1), (2, 3)), "bad", 2)
+
+
 def test_matrix_text_in_part_files(spark, scratch, tmp_path):
     rows = spark.createDataFrame(
         [(i, [i, i + 1, i + 2]) for i in range(50)], "row_id bigint, `values` array<bigint>"

@@ -55,6 +55,35 @@ def test_lookup_visit_fold(spark, g1):
     assert graph.fold(degrees, F.max("degree").alias("top")).first().top == 2
 
 
+def test_lookup_leaves_the_vertices_in_place(spark, scratch):
+    degrees = graph.vertex_degree(graph.arcs(edges_df(spark, [(i, i + 1) for i in range(300)])))
+    vertices = graph.bucketed_vertices(degrees, scratch, 4)
+    probes = spark.createDataFrame([(i,) for i in [*range(0, 600, 3), 3, 3, None]], "vertex_id bigint")
+    want = sorted((i, 1 if i in (0, 300) else 2 if i <= 300 else None) for i in [*range(0, 600, 3), 3, 3])
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        literal = graph.lookup(vertices, probes)
+        broadcast = graph.lookup(vertices, probes, literal=10)
+        many = graph.lookup(vertices, probes, literal=10, broadcast_rows=20)
+        plans = [plan(df) for df in (literal, broadcast, many)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for df in (literal, broadcast, many):
+        got = [tuple(r) for r in df.select("vertex_id", "degree").collect()]
+        assert sorted(r for r in got if r[0] is not None) == want and (None, None) in got
+    assert "In(vertex_id" in plans[0] or "vertex_id IN" in plans[0] or "INSET" in plans[0]
+    assert "Exchange hashpartitioning" not in plans[0]
+    # Only the probes' distinct ids are shuffled; the vertices meet them where they lie.
+    scan = plans[1].index("FileScan parquet")
+    assert "Exchange hashpartitioning(degree" not in plans[1]
+    assert all("Exchange hashpartitioning" not in line for line in plans[1][:scan].splitlines()[-4:])
+    assert plans[2].count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("floor", [1 << 20, 20])
 def test_adjacency_with_and_without_hubs(spark, floor):
     rng = random.Random(3)
