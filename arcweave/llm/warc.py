@@ -3,20 +3,24 @@
 Writing goes through Spark's own text writer, one row for each record and the
 blank line that ends a record as line separator, so that a lost executor's
 files are written anew under Spark's commit protocol. Records with a payload
-seen before become ``revisit`` records. Payloads over ``segment_bytes`` are
-cut: the first record is the response, the rest are ``continuation`` records
-with the origin's identifier and a segment number; the last of them states the
-total length.
-
-Reading takes each archive file (bounded by ``RECORDS_PER_FILE`` records) as one
-binary value. Records that are whole need no shuffle; segments are grouped by
-origin identifier, ordered by number, checked against the total length, and
-the chunked transfer framing is decoded.
-
-Defined results: a null payload is an empty one; a null key is written as
-``null`` and read as null; rows repeated with key and payload become one record
-each, all of the same type; a missing segment, a wrong length, bad chunking or
-a wrong digest raises.
+seen before become ``revisit`` records. Records whose block is over
+``segment_bytes`` are cut: the first record is the response, the rest are
+``continuation`` records with the origin's identifier and a segment number; the
+last of them states the total length. So no record is over ``segment_bytes`` and
+its headers, and an archive of ``RECORDS_PER_FILE`` of them is bounded in bytes.
+
+A record's identifier names its key and its payload's digest, and a number
+where rows repeat both, so it is one row's. Reading inflates an archive piece by
+piece and holds one record at a time. Records that are whole need no shuffle;
+segments are grouped by origin identifier, ordered by number, checked against
+the total length, and the chunked transfer framing is decoded.
+
+Defined results: a null payload is an empty one; a null key stays null, keys are
+of any type that casts to a string and back; rows repeated with key and payload,
+or with a key only, become one record each, of the type their payload has (a
+revisit of repeated rows refers to what their identifiers share); a missing or
+repeated segment, a wrong length, bad chunking or a wrong digest raises. An empty
+table makes archives without records; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +38,10 @@ from pyspark.sql import functions as F
 
 from arcweave.scratch import Scratch
 
-RECORDS_PER_FILE = 20_000
-SEGMENT_BYTES = 1 << 20
-CHUNK_BYTES = 1 << 16
+RECORDS_PER_FILE = 16_384
+SEGMENT_BYTES = 8 << 10
+CHUNK_BYTES = 2 << 10
+INFLATED_AT_ONCE = 1 << 18
 ROWS_AT_ONCE = 256
 ID = "urn:page:"
 RECORD_FIELDS = (
@@ -119,19 +124,31 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return ("WARC/1.1\r\n" + "\r\n".join(lines) + f"\r\nContent-Length: {len(block)}\r\n\r\n").encode() + block
 
 
-def records_of(key, url, payload, digest, kind, refers_to, date, segment_bytes) -> Iterator[bytes]:
+def record_name(key, digest: str, copy: int | None = None) -> str:
+    """The identifier of one row's record; ``copy`` tells rows with equal key and digest apart."""
+    own = "!" if key is None else quote(str(key), safe="")
+    return f"<{ID}{own}:{digest}{'' if copy is None else f':{copy}'}>"
+
+
+def key_of(name: str | None) -> str | None:
+    """The key in a record's identifier."""
+    own = name[len(ID) + 1 : -1].split(":")[0] if name else "!"
+    return None if own == "!" else unquote(own)
+
+
+def records_of(key, url, payload, digest, kind, refers_to, copy, date, segment_bytes) -> Iterator[bytes]:
     """The records of one page, in order."""
-    name = lambda k: f"<{ID}{'null' if k is None else k}>"
+    name = record_name(key, digest, copy)
     head = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", name(key)),
+        ("WARC-Record-ID", name),
         ("WARC-Date", date),
         ("WARC-Target-URI", None if url is None else quote(url, safe=":/?#[]@!$&'()*+,;=%~")),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
     ]
     if kind == "revisit":
         head += [
-            ("WARC-Refers-To", name(refers_to)),
+            ("WARC-Refers-To", record_name(refers_to, digest)),
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
             ("Content-Type", "application/http;msgtype=response"),
         ]
@@ -148,9 +165,9 @@ def records_of(key, url, payload, digest, kind, refers_to, date, segment_bytes)
         yield _record(
             [
                 ("WARC-Type", "continuation"),
-                ("WARC-Record-ID", f"{name(key)[:-1]}:{number}>"),
+                ("WARC-Record-ID", f"{name[:-1]}:segment:{number}>"),
                 ("WARC-Date", date),
-                ("WARC-Segment-Origin-ID", name(key)),
+                ("WARC-Segment-Origin-ID", name),
                 ("WARC-Segment-Number", number),
                 ("WARC-Segment-Total-Length", len(block) if number == len(parts) else None),
             ],
@@ -159,15 +176,16 @@ def records_of(key, url, payload, digest, kind, refers_to, date, segment_bytes)
 
 
 def write_warc(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z", segment_bytes: int = SEGMENT_BYTES) -> None:
-    """Write rows (key, url, payload, payload_digest, record_type, refers_to) as compressed archives."""
+    """Write rows (key, url, payload, payload_digest, record_type, refers_to, copy) as compressed archives."""
+    fields = ["key", "url", "payload", "payload_digest", "record_type", "refers_to", "copy"]
 
     def records(batches):
         for batch in _small_batches(batches):
-            rows = batch.select(["key", "url", "payload", "payload_digest", "record_type", "refers_to"]).to_pylist()
+            rows = batch.select(fields).to_pylist()
             found = []
             for r in rows:
                 found += records_of(
-                    r["key"], r["url"], r["payload"] or b"", r["payload_digest"], r["record_type"], r["refers_to"], date, segment_bytes
+                    r["key"], r["url"], r["payload"] or b"", r["payload_digest"], r["record_type"], r["refers_to"], r["copy"], date, segment_bytes
                 )
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["record"])
 
@@ -181,28 +199,53 @@ def write_warc(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z",
     )
 
 
-def _inflated(content: bytes) -> bytes:
+def _inflated(content: bytes) -> Iterator[bytes]:
+    """The content piece by piece; gzip members, if it starts as one, are inflated."""
     if content[:2] != b"\x1f\x8b":
-        return content
-    out = []
-    while content:
+        yield content
+        return
+    view, at = memoryview(content), 0
+    while at < len(view):
         member = zlib.decompressobj(31)
-        out.append(member.decompress(content))
-        out.append(member.flush())
-        content = member.unused_data
-    return b"".join(out)
-
-
-def _parsed(content: bytes) -> Iterator[tuple]:
-    at = 0
-    while at < len(content):
-        if content[at : at + 5] != b"WARC/":
-            raise ValueError(f"no WARC record at byte {at}")
-        end = content.index(b"\r\n\r\n", at)
-        found = dict(re.findall(r"(?m)^([^:\r\n]+):[ \t]*(.*?)\r?$", content[at:end].decode()))
+        waiting = b""
+        while not member.eof:
+            if not waiting:
+                if at >= len(view):
+                    raise ValueError("an archive is cut short")
+                waiting = view[at : at + INFLATED_AT_ONCE]
+                at += len(waiting)
+            yield member.decompress(waiting, INFLATED_AT_ONCE)
+            waiting = member.unconsumed_tail
+        at -= len(member.unused_data)
+
+
+def _parsed(pieces: Iterator[bytes]) -> Iterator[tuple]:
+    """The records of an archive; no more than one of them and a piece is held."""
+    held, at = b"", 0
+
+    def more() -> bool:
+        nonlocal held, at
+        piece = next(pieces, None)
+        if piece is not None:
+            held, at = held[at:] + piece, 0
+        return piece is not None
+
+    while at < len(held) or more():
+        if at == len(held):
+            continue
+        while (end := held.find(b"\r\n\r\n", at)) < 0:
+            if not more():
+                raise ValueError("a record's headers do not end")
+        if held[at : at + 5] != b"WARC/":
+            raise ValueError("no WARC record where one should start")
+        found = dict(re.findall(r"(?m)^([^:\r\n]+):[ \t]*(.*?)\r?$", held[at:end].decode()))
         headers = {name.lower(): value for name, value in found.items()}
-        start, length = end + 4, int(headers["content-length"])
-        if content[start + length : start + length + 4] != b"\r\n\r\n":
+        length, start = int(headers["content-length"]), end + 4 - at
+        while len(held) - at < start + length + 4:
+            if not more():
+                raise ValueError("a record is cut short")
+        start += at
+        if held[start + length : start + length + 4] != b"\r\n\r\n":
             raise ValueError("a record does not end where its length says")
         number = lambda name: int(headers[name]) if name in headers else None
         digest = headers.get("warc-payload-digest")
@@ -214,7 +257,7 @@ def _parsed(content: bytes) -> Iterator[tuple]:
             number("warc-segment-total-length"),
             headers.get("warc-refers-to"),
             digest.removeprefix("sha1:") if digest else None,
-            content[start : start + length],
+            held[start : start + length],
         )
         at = start + length + 4
 
@@ -257,7 +300,7 @@ def reassemble(records: DataFrame) -> DataFrame:
             F.min(F.when(F.col("segment") == 1, F.col("record_type"))).alias("record_type"),
             F.min("refers_to").alias("refers_to"),
             F.min("digest").alias("digest"),
-            F.array_sort(F.collect_set(F.struct("segment", "block"))).alias("parts"),
+            F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts"),
             F.max("total_length").alias("total_length"),
             F.max("segment").alias("last"),
         )
@@ -274,16 +317,12 @@ def _payload(parts: list[bytes], total: int | None, last: int) -> bytes:
     return unchunked(body) if re.search(rb"(?im)^transfer-encoding:[^\r\n]*chunked", head) else body
 
 
-def payloads(blocks: DataFrame, with_payload: bool = True) -> DataFrame:
+def payloads(blocks: DataFrame, with_payload: bool = True, key_type: str = "long") -> DataFrame:
     """(key, record_type, refers_to, payload_digest, payload_bytes[, payload]) of reassembled records.
 
     Revisits have no payload of their own: their payload and its length are null here.
     """
 
-    def keyed(name: str | None):
-        text = name[len(ID) + 1 : -1] if name else "null"
-        return None if text == "null" else int(text)
-
     def decoded(batches):
         for batch in _small_batches(batches):
             rows = []
@@ -294,16 +333,18 @@ def payloads(blocks: DataFrame, with_payload: bool = True) -> DataFrame:
                     if r["digest"] != digest_of(payload):
                         raise ValueError(f"the payload of {r['record_id']} does not have its digest")
                 size = None if payload is None else len(payload)
-                rows.append((keyed(r["record_id"]), r["record_type"], keyed(r["refers_to"]), r["digest"], size, payload if with_payload else None))
+                rows.append((key_of(r["record_id"]), r["record_type"], key_of(r["refers_to"]), r["digest"], size, payload if with_payload else None))
             columns = list(zip(*rows, strict=True)) or [()] * 6
-            types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+            types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             names = ["key", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return blocks.mapInArrow(
-        decoded, "key long, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
+    found = blocks.mapInArrow(
+        decoded, "key string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary"
     )
+    typed = {name: F.col(name).cast(key_type) for name in ("key", "refers_to")}
+    return found.withColumns(typed)
 
 
 def resolve_revisits(found: DataFrame) -> DataFrame:
@@ -322,7 +363,11 @@ def archive(pages: DataFrame, scratch: Scratch, path: str, least_bytes: int = 0,
         digested.select("key", "payload_digest", F.length(F.coalesce("payload", F.lit(b""))).cast("long").alias("payload_bytes")),
         "digests",
     )
-    roles = scratch.save(record_types(narrow, scratch, least_bytes).distinct(), "roles")
+    roles = record_types(narrow, scratch, least_bytes)
+    roles = scratch.save(roles.groupBy(*roles.columns).agg(F.count("*").alias("copies")), "roles")
     roles = roles.withColumnsRenamed({"payload_digest": "_digest", "key": "_key"})
     same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("payload_digest") == F.col("_digest"))
-    write_warc(digested.join(roles, same).drop("_key", "_digest"), path, segment_bytes=segment_bytes)
+    # Only rows that repeat key and payload need a number; a task writes all of a record's segments.
+    copy = F.when(F.col("copies") > 1, F.monotonically_increasing_id()).alias("copy")
+    placed = digested.join(roles, same).select("key", "url", "payload", "payload_digest", "record_type", "refers_to", copy)
+    write_warc(placed, path, segment_bytes=segment_bytes)

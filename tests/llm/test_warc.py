@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 
 import pytest
@@ -53,6 +54,57 @@ def test_round_trip_of_odd_payloads(spark, scratch, segment_bytes):
             warc.payloads(warc.reassemble(broken)).collect()
 
 
+@pytest.mark.parametrize("segment_bytes", [90, 1 << 20])
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_repeated_rows_and_keys_keep_their_records(spark, scratch, segment_bytes, kind):
+    a, b, c, d = (bytes([x]) * 400 for x in range(4))
+    rows = [(1, "u", a), (1, "u", a), (1, "u", b), (2, "u", a), (2, "u", a), (None, "u", c), (None, "u", d), (None, "u", d), (None, "u", a), (5, "u", None), (5, "v", None)]
+    if kind == "string":
+        rows = [(None if k is None else f"{k}:null >!é", *rest) for k, *rest in rows]
+    data = spark.createDataFrame(rows, f"key {kind}, url string, payload binary")
+    path = scratch.folder("w")
+    warc.archive(data, scratch, path, segment_bytes=segment_bytes)
+    records = warc.read_records(spark, path)
+    names = [r.record_id for r in records.select("record_id").collect()]
+    assert len(names) == len(set(names))
+    assert (records.where("record_type = 'continuation'").count() > 0) == (segment_bytes == 90)
+    found = warc.payloads(warc.reassemble(records), key_type=kind)
+    first = {}
+    for key, _, payload in rows:
+        known = [k for k in (first.get(payload), key) if k is not None]
+        first[payload] = min(known) if known else None
+    wanted = [
+        (key, len(payload or b""), b32(payload or b""), "response" if first[payload] == key else "revisit", None if first[payload] == key else first[payload])
+        for key, _, payload in rows
+    ]
+    got = warc.resolve_revisits(found).select("key", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, wanted))
+    assert sorted(bytes(r.payload) for r in found.where("record_type = 'response'").collect()) == sorted(p or b"" for k, _, p in rows if first[p] == k)
+
+
+def test_archives_are_read_piece_by_piece(monkeypatch):
+    monkeypatch.setattr(warc, "INFLATED_AT_ONCE", 7)
+    blocks = [b"x" * n for n in (0, 1, 50, 1000)] + [b"\r\n\r\nWARC/1.1\r\n\r\n"]
+    plain = b"".join(warc._record([("WARC-Type", "resource"), ("WARC-Record-ID", f"<{i}>")], block) + b"\r\n\r\n" for i, block in enumerate(blocks))
+    half = len(plain) // 2
+    packed = gzip.compress(plain[:half]) + gzip.compress(plain[half:])
+    for content in (plain, packed):
+        pieces = list(warc._inflated(content))
+        assert b"".join(pieces) == plain and (content is plain or max(map(len, pieces)) <= 7)
+        assert [r[-1] for r in warc._parsed(iter(pieces))] == blocks
+    for content in (plain[:-1], plain[:half], packed[:-9]):
+        with pytest.raises(ValueError):
+            list(warc._parsed(warc._inflated(content)))
+    assert list(warc._parsed(warc._inflated(b""))) == []
+
+
+def test_pages_of_the_tables_are_segmented(spark, scratch):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").selectExpr("page_id AS key", "url", "encode(html, 'UTF-8') AS payload")
+    path = scratch.folder("w")
+    warc.archive(pages, scratch, path)
+    assert warc.read_records(spark, path).where("segment = 1").count() > 0
+
+
 def test_empty_table(spark, scratch):
     path = scratch.folder("w")
     warc.archive(spark.createDataFrame([], "key long, url string, payload binary"), scratch, path)
