@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arcweave.llm.tokens import Encoder
+from arcweave.llm.tokens import ENCODED_TOGETHER, encoder
 from arcweave.llm.words import column, slices
 from arcweave.scratch import Scratch
 
@@ -55,10 +55,10 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, capa
     fields = f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, keeps_space=True)
-        for batch in slices(batches, "text"):
+        encode = encoder(path, keeps_space=True).encode
+        for batch in slices(batches, "text", most_bytes=ENCODED_TOGETHER):
             rows, whose = [], []
-            for i, ids in enumerate(encoder.encode(t or "" for t in column(batch, "text").to_pylist())):
+            for i, ids in enumerate(encode(t or "" for t in column(batch, "text").to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 edges = [0, *range(first, len(ids) + 1, capacity)]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arcweave.llm.token_coder import BLOCK_IDS, decode_block, encode_block
-from arcweave.llm.tokens import Encoder
+from arcweave.llm.tokens import ENCODED_TOGETHER, encoder
 from arcweave.llm.words import column, slices
 from arcweave.scratch import Scratch
 
@@ -38,7 +38,7 @@ def coded(docs: DataFrame, vocabulary: str | None = None, vocabulary_ids: int =
     kind = dict(docs.dtypes)["doc_id"]
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, keeps_space=False)
+        encode = encoder(path, keeps_space=False).encode
         ids_type = None
         held: list[np.ndarray] = []
         whose: list = []
@@ -49,10 +49,10 @@ def coded(docs: DataFrame, vocabulary: str | None = None, vocabulary_ids: int =
             arrays = [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([whose], pa.list_(ids_type)), pa.array([data], pa.binary())]
             return pa.RecordBatch.from_arrays(arrays, ["part", "block_no", "doc_ids", "data"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", most_bytes=ENCODED_TOGETHER):
             part = column(batch, "part")[0].as_py()
             ids_type = column(batch, "doc_id").type
-            texts = encoder.encode(t or "" for t in column(batch, "text").to_pylist())
+            texts = encode(t or "" for t in column(batch, "text").to_pylist())
             for doc, ids in zip(column(batch, "doc_id").to_pylist(), texts, strict=True):
                 ids = np.append(ids, np.uint32(end_id))
                 if held and size + len(ids) > block_ids:

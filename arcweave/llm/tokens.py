@@ -8,7 +8,7 @@ ids are the ids of its parts, one after the other. Parts repeat a lot; the
 library encodes each only when a worker has not met it lately. Cutting, telling
 parts apart and putting ids together are array operations over a slice of texts;
 Python touches each different part of a slice once. Texts with white space of
-other shapes are encoded whole.
+other shapes, or with the string of a special token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -22,8 +22,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts remembered in each of two generations; about 200 bytes each.
-REMEMBERED = 150_000
+#: Parts remembered in each of two generations; about 200 bytes each. A worker keeps
+#: them from task to task, so that it encodes a common part once, not once a task.
+REMEMBERED = 400_000
+#: Bytes of text whose parts are told apart together.
+ENCODED_TOGETHER = 1 << 21
 #: New parts encoded in one call.
 TOGETHER = 512
 
@@ -48,9 +51,13 @@ def _library(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, keeps_space: bool) -> Encoder:
+    """This worker's encoder of a vocabulary file."""
+    return Encoder(path, keeps_space)
 
 
 class Encoder:
@@ -65,6 +72,10 @@ class Encoder:
         self._keeps_space = keeps_space
         self._between = "\0" if keeps_space else " "
         vocabulary = self._library.get_vocab(with_added_tokens=False)
+        # The strings of special tokens are found before anything is cut, so texts with one are encoded whole.
+        special = [token.content for token in self._library.get_added_tokens_decoder().values()]
+        self._special_starts = {s[:2] for s in special}
+        self._special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE)
         # The last id of a piece: the line end after it, or an id that ends a word.
         self._is_last = np.zeros(max(vocabulary.values()) + 1, bool)
         if keeps_space:
@@ -76,6 +87,8 @@ class Encoder:
 
     def _marked(self, text: str) -> str | None:
         """The text with ``_between`` wherever no piece can reach across; None if it must be encoded whole."""
+        if any(start in text for start in self._special_starts) and self._special.search(text):
+            return None
         if not self._keeps_space:
             # Lower-casing comes first in this vocabulary; outside Latin-1 it is left to the library.
             folded = text.lower() if _is_latin(text) else text

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 18
 
 _FOLD = np.zeros(256, np.uint8)
 _FOLD[0x30:0x3A] = np.arange(0x30, 0x3A)

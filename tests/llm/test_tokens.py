@@ -16,12 +16,11 @@ from arcweave.llm.queries import op2_token_files, op4_packing
 from arcweave.llm.tokens import Encoder
 
 SF = "/root/testdata/sf0.001"
-ODD = [None, "", " ", "a  b", " a", "x\ny", "x \n y", "a\n\nb c", "  z", "é ̀b ΑΣ", "<|endoftext|> </s>", "it's 'll  \t", "😀   b", "w" * 5000, "a " * 30000]
+ODD = [None, "", " ", "a  b", " a", "x\ny", "x \n y", "a\n\nb c", "  z", "é ̀b ΑΣ", "<|endoftext|> </s>", "ab<|EndOfText|>cd ef", "a b <|startoftext|>. x", "<| endoftext |>", "it's 'll  \t", "😀   b", "w" * 5000, "a " * 30000]
 
 
 def library(name):
     found = Tokenizer.from_file(public_tokenizers.path(name))
-    found.encode_special_tokens = True
     return lambda text: found.encode(text or "", add_special_tokens=False).ids
 
 
