@@ -17,11 +17,13 @@ than 0 and 1 are ignored; rows repeated count each. Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,6 +159,13 @@ def fit_weights(labels: np.ndarray, sets: list[np.ndarray], pairs: list[tuple[np
     return {k: w for k, w in found.items() if abs(w) > 1e-3} | {BIAS: bias}
 
 
+def _parts(lists: pa.ListArray) -> list[np.ndarray]:
+    """Each row's features; a null row has none."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
+
+
 def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, most: int = MOST_LABELLED) -> DataFrame:
     """Weights (feature, weight) from rows (doc_id, text) and (doc_id, toxic)."""
     known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -168,17 +177,18 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, most: int = MOST_L
         labels, sets, pairs = [], [], []
         for batch in batches:
             toxic = column(batch, "toxic").to_pylist()
-            own, other = column(batch, "own"), column(batch, "other")
-            for i, label in enumerate(toxic):
-                mine = own[i].values.to_numpy().view(np.uint64).copy()
+            # Rows are parts of one array a batch: small arrays would stay with the worker for good.
+            own, other = _parts(column(batch, "own")), _parts(column(batch, "other"))
+            for label, mine, swap in zip(toxic, own, other, strict=True):
                 if label is None:
-                    pairs.append((mine, other[i].values.to_numpy().view(np.uint64).copy()))
+                    pairs.append((mine, swap))
                 else:
                     labels.append(label)
                     sets.append(mine)
         # The order of rows must not change the sums.
-        order = sorted(range(len(sets)), key=lambda i: (labels[i], sets[i].tobytes()))
-        pairs.sort(key=lambda pair: (pair[0].tobytes(), pair[1].tobytes()))
+        digest = lambda features: hashlib.blake2b(features, digest_size=16).digest()
+        order = sorted(range(len(sets)), key=lambda i: (labels[i], digest(sets[i])))
+        pairs.sort(key=lambda pair: (digest(pair[0]), digest(pair[1])))
         found = fit_weights(np.array([labels[i] for i in order], np.float64), [sets[i] for i in order], pairs)
         keys = np.array(list(found), np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(list(found.values()))], ["feature", "weight"])
