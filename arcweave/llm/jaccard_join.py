@@ -267,7 +267,10 @@ def one_of_each_group(docs: DataFrame, scratch: Scratch, percent: int = 80) -> D
     kept = scratch.save(
         groups.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.count("*").alias("_times")), "kept"
     )
-    rows = docs.join(kept.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    wanted = kept.withColumnRenamed("doc_id", "_id")
+    # Few ids go to the texts; the texts move to their ids only beyond that.
+    wanted = F.broadcast(wanted) if kept.count() <= BROADCAST_ROWS else wanted
+    rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
     once = rows.where(F.col("_times") == 1).drop("_times")
     if kept.where(F.col("_times") > 1).isEmpty():
         return once
