@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from itertools import count
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from arcweave.operators.graph import arcs
 from arcweave.operators.skew import HEAVY_FLOOR, join_unique, key_table, sampled_heavy_keys
@@ -132,9 +132,9 @@ class Frontier:
     table: DataFrame | None = None
 
 
-def frontier_of(table: DataFrame, narrow: int = NARROW) -> Frontier:
-    """Measure a durable table of distinct vertex ids."""
-    rows = table.count()
+def frontier_of(table: DataFrame, narrow: int = NARROW, rows: int | None = None) -> Frontier:
+    """A durable table of distinct vertex ids; it is counted unless ``rows`` is known."""
+    rows = table.count() if rows is None else rows
     if rows > narrow:
         return Frontier(rows, table=table)
     return Frontier(rows, ids=tuple(r.vertex_id for r in table.collect()) if rows else ())
@@ -290,10 +290,12 @@ def search(graph: Graph, root: int, narrow: int = NARROW) -> Search:
     parts = count()
     pending: list[tuple[int, int]] = []
 
-    def write(df: DataFrame) -> DataFrame:
+    def write(df: DataFrame) -> tuple[DataFrame, int]:
+        """The written rows and their number, which the write itself counts."""
         path = f"{folder}/part={next(parts)}"
-        df.write.parquet(path)
-        return spark.read.schema(_LEVELS).parquet(path)
+        counted = Observation()
+        df.observe(counted, F.count("*").alias("rows")).write.parquet(path)
+        return spark.read.schema(_LEVELS).parquet(path), counted.get["rows"]
 
     def flush() -> None:
         if pending:
@@ -321,8 +323,8 @@ def search(graph: Graph, root: int, narrow: int = NARROW) -> Search:
                 continue
         # Dedupe first: broadcast sides still move below it, large ones stay above.
         fresh = without(neighbors(graph, newest).distinct(), *seen)
-        table = write(fresh.withColumn("level", F.lit(level).cast("bigint")))
-        found = frontier_of(table.select("vertex_id"), narrow)
+        table, rows = write(fresh.withColumn("level", F.lit(level).cast("bigint")))
+        found = frontier_of(table.select("vertex_id"), narrow, rows)
         if found.rows == 0:
             break
         before, newest = newest, found

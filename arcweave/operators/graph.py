@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from arcweave.operators.running import exclusive_running
-from arcweave.operators.skew import BROADCAST_ROWS, HEAVY_FLOOR, heavy_keys, join_unique
+from arcweave.operators.skew import (
+    BROADCAST_ROWS,
+    HEAVY_FLOOR,
+    heavy_keys,
+    join_unique,
+    key_table,
+    sampled_heavy_keys,
+)
 from arcweave.scratch import Scratch
 
 # Neighbours per adjacency row; a vertex with more gets several rows.
@@ -135,27 +142,26 @@ def ranked_arcs(
 
     hub_side = F.broadcast(hubs.withColumnRenamed("vertex_id", "src"))
     ordinary = arc_table.join(hub_side, "src", "left_anti").select("src", "dst", rank)
-    pairs = (
-        arc_table.join(hub_side, "src", "left_semi")
-        .groupBy("src", "dst")
-        .agg(F.count("*").alias("copies"))
-    )
+    return ordinary, _ranked_hub_arcs(arc_table.join(hub_side, "src", "left_semi")), hubs
+
+
+def _ranked_hub_arcs(arc_table: DataFrame) -> DataFrame:
+    """The arcs of hubs with their ranks, without a group as large as a hub."""
+    pairs = arc_table.groupBy("src", "dst").agg(F.count("*").alias("copies"))
     first = exclusive_running(pairs, order="dst", value="copies", out="first", by=["src"])
     step = F.lit(COPIES_PER_PIECE).cast("bigint")
     zero = F.lit(0).cast("bigint")
-    hub = (
+    return (
         first.withColumn("piece", F.explode(F.sequence(zero, F.col("copies") - 1, step)))
         .repartition("src", "dst", "piece")
         .withColumn("last", F.least(F.col("piece") + step, F.col("copies")) - 1)
         .withColumn("copy", F.explode(F.sequence(F.col("piece"), F.col("last"))))
         .select("src", "dst", (F.col("first") + F.col("copy")).alias("rank"))
     )
-    return ordinary, hub, hubs
 
 
 def adjacency(
     arc_table: DataFrame,
-    degrees: DataFrame,
     block: int = ADJACENCY_BLOCK,
     heavy_floor: int = HEAVY_FLOOR,
 ) -> DataFrame:
@@ -163,21 +169,27 @@ def adjacency(
 
     A vertex with up to ``block`` neighbours has the single row ``block_no`` 0;
     a larger one continues in blocks 1, 2, ... so that no array outgrows a row.
-    Only then are the arcs ranked first; ``degrees`` tells, and is read at once.
+    Hubs are found in a sample at once; only their arcs are ranked. All others
+    take one shuffle, are gathered by vertex, and cut where they are longer than
+    ``block``, so the sample decides how a list is made, not what is in it.
     """
-    if (degrees.agg(F.max("degree")).first()[0] or 0) <= block:
-        return arc_table.groupBy(F.col("src").alias("vertex_id")).agg(
-            F.lit(0).cast("bigint").alias("block_no"),
-            F.array_sort(F.collect_list("dst")).alias("neighbors"),
-        )
-    ordinary, hub, _ = ranked_arcs(arc_table, degrees, heavy_floor)
-
-    def collect(ranked: DataFrame) -> DataFrame:
-        return (
-            ranked.withColumn("block_no", F.expr(f"rank div {block}"))
-            .groupBy(F.col("src").alias("vertex_id"), "block_no")
-            .agg(F.array_sort(F.collect_list("dst")).alias("neighbors"))
-        )
-
-    lists = collect(ordinary)
-    return lists if hub is None else lists.unionByName(collect(hub))
+    found, _ = sampled_heavy_keys(arc_table, "src", heavy_floor)
+    ordinary = arc_table
+    if found:
+        hubs = F.broadcast(key_table(arc_table.sparkSession, "src", found))
+        ordinary = arc_table.join(hubs, "src", "left_anti")
+    whole = ordinary.groupBy(F.col("src").alias("vertex_id")).agg(F.array_sort(F.collect_list("dst")).alias("whole"))
+    last = F.expr(f"(size(whole) - 1) div {block}")
+    cut = F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda b: F.slice("whole", (b * block + 1).cast("int"), block))
+    lists = whole.select("vertex_id", F.posexplode(cut).alias("block_no", "neighbors")).select(
+        "vertex_id", F.col("block_no").cast("bigint").alias("block_no"), "neighbors"
+    )
+    if not found:
+        return lists
+    ranked = _ranked_hub_arcs(arc_table.join(hubs, "src", "left_semi"))
+    of_hubs = (
+        ranked.withColumn("block_no", F.expr(f"rank div {block}"))
+        .groupBy(F.col("src").alias("vertex_id"), "block_no")
+        .agg(F.array_sort(F.collect_list("dst")).alias("neighbors"))
+    )
+    return lists.unionByName(of_hubs)

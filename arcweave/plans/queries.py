@@ -104,7 +104,7 @@ def vertex_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjacency_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = graph.adjacency(_arcs(spark, sf_dir), _degrees(spark, sf_dir))
+    lists = graph.adjacency(_arcs(spark, sf_dir))
     return lists.select("vertex_id", "block_no", F.array_join("neighbors", ",").alias("neighbors"))
 
 
@@ -148,8 +148,9 @@ def bfs_absent_root(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bfs_levels_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = views.event_chain_edges(spark, sf_dir)
-    return bfs.search(bfs.build_graph(edges, Scratch(spark)), DEEP_ROOT).levels()
+    scratch = Scratch(spark)
+    edges = views.event_chain_edges(spark, sf_dir, scratch)
+    return bfs.search(bfs.build_graph(edges, scratch), DEEP_ROOT).levels()
 
 
 def bfs_crosscheck(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from arcweave.operators.graph import as_edges
-from arcweave.operators.running import exclusive_running
+from arcweave.operators.running import previous_row
+from arcweave.scratch import Scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,25 +23,26 @@ def order_part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event joined to the same user's event before it: one path per user.
-
-    Event numbers rise with time, so the event before is the largest smaller
-    number of that user.
-    """
-    events = table(spark, sf_dir, "events").select("user_id", "event_id")
-    linked = exclusive_running(
-        events, order="event_id", value="event_id", out="previous", by=["user_id"], fold="max"
-    )
+def event_chain_edges(spark: SparkSession, sf_dir: str, scratch: Scratch) -> DataFrame:
+    """Each event joined to the same user's event before it, by time and id: one path per user."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    linked = previous_row(events, "user_id", ["ts", "event_id"], "event_id", "previous", scratch)
     return as_edges(linked.where("previous is not null"), "previous", "event_id")
 
 
+def _whole(name: str) -> Column:
+    """A column of whole numbers as bigint; a fraction raises."""
+    number = F.col(name).cast("bigint")
+    problem = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), F.col(name).cast("string")))
+    return F.when(F.col(name).isNull() | (number == F.col(name)), number).otherwise(problem.cast("bigint"))
+
+
 def line_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantities by order (row) and part (column)."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("row_id"),
         F.col("l_partkey").alias("col_id"),
-        F.col("l_quantity").cast("bigint").alias("value"),
+        _whole("l_quantity").alias("value"),
     )
 
 

@@ -32,7 +32,7 @@ def compare(df, con, sql):
     names = sorted(df.columns)
     if names != sorted(relation.columns):
         return f"columns {names} != {sorted(relation.columns)}"
-    kinds = {"bigint": "BIGINT", "string": "VARCHAR"}
+    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN"}
     types = dict(zip(relation.columns, map(str, relation.types)))
     for name, kind in df.dtypes:
         if kinds.get(kind) != types[name]:
@@ -50,7 +50,7 @@ def compare(df, con, sql):
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    wanted = sys.argv[2:] or list(driver.queries())
+    wanted = sys.argv[2:] or list(driver.oracle_sql())
     spark = (
         configure(SparkSession.builder.master("local[8]"))
         .config("spark.sql.shuffle.partitions", "8")

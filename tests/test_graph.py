@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import brute
 from arcweave.operators import csr, graph, placement
-from arcweave.operators.running import exclusive_running
+from arcweave.operators.running import exclusive_running, previous_row
 from arcweave.operators.skew import heavy_keys, heavy_limit, join_unique, sampled_heavy_keys
 
 G1 = [(1, 2), (2, 3), (3, 4), (7, 8), (5, 5)]
@@ -91,7 +91,7 @@ def test_adjacency_with_and_without_hubs(spark, floor):
     edges = [(0, rng.randrange(1, 40)) for _ in range(200)] + [(0, 7)] * 150
     edges += [(rng.randrange(1, 40), rng.randrange(1, 40)) for _ in range(60)]
     arcs = graph.arcs(edges_df(spark, edges))
-    found = graph.adjacency(arcs, graph.vertex_degree(arcs), block=16, heavy_floor=floor)
+    found = graph.adjacency(arcs, block=16, heavy_floor=floor)
     want = {}
     for a, b in brute.both_ways(edges):
         want.setdefault(a, []).append(b)
@@ -104,6 +104,30 @@ def test_adjacency_with_and_without_hubs(spark, floor):
     assert got == expected
 
 
+def test_adjacency_takes_one_shuffle(spark):
+    arcs = graph.arcs(edges_df(spark, [(i, i % 7) for i in range(100)]))
+    plan = graph.adjacency(arcs, block=4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+
+
+@pytest.mark.parametrize("floor", [1 << 20, 40])
+def test_previous_row_of_ordinary_and_heavy_groups(spark, scratch, floor):
+    rng = random.Random(8)
+    events = [(rng.choice([None, 1, 1, 1, 2, 3, *range(4, 30)]), rng.randrange(50), i) for i in range(600)]
+    want, last = [], {}
+    for user, ts, event in sorted(events, key=lambda e: (e[0] is not None, e[0] or 0, e[1], e[2])):
+        want.append((user, event, last.get(user, (None,))[0]))
+        last[user] = (event,)
+    frame = spark.createDataFrame(events, "user bigint, ts int, event bigint").repartition(5)
+    for some, expected in ((frame, want), (frame.where("user is not null"), [w for w in want if w[0] is not None])):
+        found = previous_row(some, "user", ["ts", "event"], "event", "previous", scratch, floor)
+        got = [(r.user, r.event, r.previous) for r in found.collect()]
+        assert sorted(got, key=str) == sorted(expected, key=str)
+    ordinary = frame.where("user is not null")
+    plan = previous_row(ordinary, "user", ["ts"], "event", "p", scratch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_copies_of_one_arc_are_expanded_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(graph, "COPIES_PER_PIECE", 8)
     edges = [(1, 2)] * 50 + [(1, 3)] * 5
