@@ -5,9 +5,11 @@ not, as 64-bit hashes. The classifier is fitted on a bounded sample of the
 labelled rows (``MOST_LABELLED``, by a hash of the id): features that occur in
 one class much more often than in the other are kept, and a logistic regression
 is fitted on them. Sentences of labelled texts that name an identity are taken
-twice, once with the terms swapped for others of their kind; the difference of
-both logits is penalised, so that a neutral mention of a group does not move the
-score. Everything else covers all rows: texts are scored whole, in place, with
+twice, once with the terms swapped for others of their kind. As such sentences
+may be few or none, each labelled text also gives one of its own: some of its
+words as they stand, and the same with a term put between them. The difference
+of both logits is penalised, so that a neutral mention of a group does not move
+the score; ``mention_shift`` measures by how much it still does. Everything else covers all rows: texts are scored whole, in place, with
 the fitted weights as the only shared data.
 
 Defined results: a null or empty text scores as the bias alone; without labelled
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +55,9 @@ IDENTITIES = (
     ("immigrants", "refugees", "foreigners", "locals", "migrants"),
     ("deaf", "blind", "disabled", "elderly", "young", "old"),
 )
+TERMS = tuple(term for kind in IDENTITIES for term in kind)
+#: Words of a text on either side of a term put into it.
+SLOT_WORDS = 5
 _SWAP = {term: kind[(i + 1) % len(kind)] for kind in IDENTITIES for i, term in enumerate(kind)}
 _TERM = re.compile(r"(?i)\b(" + "|".join(sorted(_SWAP, key=len, reverse=True)) + r")\b")
 
@@ -76,8 +82,26 @@ def swapped(sentence: str) -> str | None:
     return _TERM.sub(lambda m: _SWAP[m[0].lower()], sentence) if _TERM.search(sentence) else None
 
 
+def slotted(text: str) -> tuple[str, str] | None:
+    """Some words of a text with an identity term between them, and without; None if it has no words."""
+    words = text.split()
+    if not words:
+        return None
+    number = zlib.crc32(text.encode())
+    place = number // len(TERMS) % (len(words) + 1)
+    before, after = words[max(place - SLOT_WORDS, 0) : place], words[place : place + SLOT_WORDS]
+    return " ".join([*before, TERMS[number % len(TERMS)], *after]), " ".join(before + after)
+
+
+def _pairs(text: str) -> list[tuple[str, str]]:
+    """Counterfactual sentences of one labelled text."""
+    named = [(s, t) for s in re.split(r"[.!?\n]", text) if (t := swapped(s)) is not None]
+    own = slotted(text)
+    return named if own is None else [*named, own]
+
+
 def _rows(labelled: DataFrame) -> DataFrame:
-    """(toxic, own, other): features of each labelled text, and of its identity sentences as they are and swapped.
+    """(toxic, own, other): features of each labelled text, and of its counterfactual sentences in both forms.
 
     ``toxic`` is null for sentences; ``other`` is null for texts.
     """
@@ -89,7 +113,7 @@ def _rows(labelled: DataFrame) -> DataFrame:
             own: list = [s.view(np.int64) for s in _sets(texts)]
             labels: list = column(batch, "toxic").to_pylist()
             other: list = [None] * len(own)
-            pairs = [(s, t) for text in texts.to_pylist() for s in re.split(r"[.!?\n]", text or "") if (t := swapped(s)) is not None]
+            pairs = [pair for text in texts.to_pylist() for pair in _pairs(text or "")]
             if pairs:
                 own += [s.view(np.int64) for s in _sets(pa.array([s for s, _ in pairs]))]
                 other += [s.view(np.int64) for s in _sets(pa.array([t for _, t in pairs]))]
@@ -224,6 +248,20 @@ def score(docs: DataFrame, weights: DataFrame, keep: tuple[str, ...] = ("doc_id"
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(scored, fields + "toxicity_score double")
 
 
+def mention_shift(docs: DataFrame, weights: DataFrame) -> DataFrame:
+    """One row (texts, mean_shift, most_shift): how far a neutral mention moves the scores of rows (doc_id, text).
+
+    Each text is scored as it is and with one identity term, by turns, put after it.
+    """
+    terms = F.array(*(F.lit(t) for t in TERMS))
+    term = F.element_at(terms, (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) % len(TERMS) + 1).cast("int"))
+    mentioned = docs.select(F.col("text").alias("plain"), F.concat_ws(" ", "text", term).alias("mention"))
+    plain = score(mentioned, weights, keep=("mention",), text="plain").withColumnRenamed("toxicity_score", "as_it_is")
+    both = score(plain, weights, keep=("as_it_is",), text="mention")
+    shift = F.abs(F.col("toxicity_score") - F.col("as_it_is"))
+    return both.agg(F.count("*").alias("texts"), F.avg(shift).alias("mean_shift"), F.max(shift).alias("most_shift"))
+
+
 def held_out(doc_id: str = "doc_id"):
     """Is the row kept from learning? Crc32 of the id as text, modulo 5, is 0."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0

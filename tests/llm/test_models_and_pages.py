@@ -55,6 +55,31 @@ def test_swapping_terms_lowers_the_score_of_neutral_mentions(monkeypatch):
     assert score_of(weights[5.0], "w1 vile") > score_of(weights[5.0], "w1 w2") + 1
 
 
+def test_every_labelled_text_gives_a_counterfactual():
+    assert toxicity.slotted(" \n") is None and toxicity._pairs("") == []
+    for text in ("one", "one two three. Four five six seven eight nine ten eleven twelve"):
+        own, other = toxicity.slotted(text)
+        added = [w for w in own.split() if w not in other.split()]
+        assert len(added) == 1 and added[0] in toxicity.TERMS and len(other.split()) <= 2 * toxicity.SLOT_WORDS
+    assert len(toxicity._pairs("The muslim came. Nobody else")) == 2
+
+
+def test_weights_score_as_an_independent_sum_and_mentions_hardly_move_them(spark, scratch):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet").where(~toxicity.held_out())
+    weights = toxicity.fit(docs, labels, scratch)
+    found = {r.feature: r.weight for r in weights.collect()}
+    by_hash = {k % (1 << 64): w for k, w in found.items()}
+    bias = by_hash.pop(toxicity.BIAS, 0.0)
+    rows = {r.doc_id: r.toxicity_score for r in toxicity.score(docs, weights).collect()}
+    for r in docs.limit(60).collect():
+        logit = bias + sum(by_hash.get(int(f), 0.0) for f in sets_of([r.text])[0])
+        assert abs(rows[r.doc_id] - 1 / (1 + np.exp(-np.clip(logit, -30, 30)))) < 1e-9
+    neutral = docs.join(spark.read.parquet(f"{SF01}/labels.parquet").where(toxicity.held_out()).where("toxic = 0"), "doc_id")
+    shift = toxicity.mention_shift(neutral, weights).first()
+    assert shift.texts > 20 and shift.mean_shift < 0.01
+
+
 def test_toxicity_of_odd_rows(spark, scratch):
     docs = spark.createDataFrame([(1, None, "l", 1), (2, "", "l", 1), (3, "vile " * 50000, "l", 1), (3, "fine", "l", 0), (None, "x", "l", 0)], "doc_id long, text string, lang string, toxic int")
     none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"), scratch)
