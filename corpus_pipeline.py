@@ -8,7 +8,12 @@
 
 All stages but the last return the columns of documents. No stage can be
 expressed in SQL as a whole (a fitted model, set similarity, tokenizers), so
-there is no ORACLE_SQL; tests compare each stage with a brute-force version.
+there is no ORACLE_SQL. The operators are tested against brute force; the test of
+the pipeline checks what each stage keeps and how texts change.
+
+Null texts are empty ones and pass all stages; rows that repeat an id and a text
+are decided alike, and near_duplicates keeps one of them; extra columns stay up to
+the last stage; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,12 +25,6 @@ from arcweave.llm import decontaminate, jaccard_join, packing, secrets, toxicity
 from arcweave.scratch import Scratch
 
 
-def _row_key():
-    """What tells rows apart: the id and the text's digest; rows equal in both are decided alike."""
-    text = F.coalesce("text", F.lit(""))
-    return F.struct(F.col("doc_id").alias("doc_id"), F.md5(text.cast("binary")).alias("digest"))
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a score under 0.5."""
     scratch = Scratch(spark)
