@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arcweave.llm.tokens import ENCODED_TOGETHER, encoder
+from arcweave.llm.tokens import ENCODED_TOGETHER, TEXTS_TOGETHER, encoder
 from arcweave.llm.words import column, slices
 from arcweave.scratch import Scratch
 
@@ -56,7 +56,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, capa
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, keeps_space=True).encode
-        for batch in slices(batches, "text", most_bytes=ENCODED_TOGETHER):
+        for batch in slices(batches, "text", most_rows=TEXTS_TOGETHER, most_bytes=ENCODED_TOGETHER):
             rows, whose = [], []
             for i, ids in enumerate(encode(t or "" for t in column(batch, "text").to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")

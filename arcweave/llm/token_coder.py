@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -34,7 +35,9 @@ LANES = 4096
 #: Ids in a block at most, unless one document alone has more.
 BLOCK_IDS = 1 << 21
 TOTAL_BITS = 24
-SURE = 15
+SURE_BITS = 4
+SURE = (1 << SURE_BITS) - 1
+CELLS = (SURE + 1) * (SURE + 1)
 ORDER2_BITS = 18
 
 _T = np.uint64(TOTAL_BITS)
@@ -43,22 +46,33 @@ _LOW32 = np.uint64(0xFFFFFFFF)
 _SMALL = np.uint64(1) << _32
 
 
+def _changes() -> tuple[np.ndarray, ...]:
+    """By counts and by which predictions were right: how a count changes, and whether its id gives way."""
+    right2, right1 = np.arange(4 * CELLS) // CELLS & 1 > 0, np.arange(4 * CELLS) // CELLS & 2 > 0
+    sure2, sure1 = np.arange(4 * CELLS) % CELLS // (SURE + 1), np.arange(4 * CELLS) % (SURE + 1)
+    change = lambda sure, right: np.where(right, np.minimum(sure + 1, SURE), sure >> 1) - sure
+    return change(sure2, right2), ~right2 & (sure2 == 0), change(sure1, right1), ~right1 & (sure1 == 0)
+
+
+CHANGE2, GIVES_WAY2, CHANGE1, GIVES_WAY1 = _changes()
+
+
 class Model:
-    """The shared adaptive model; encoder and decoder call it with the same ids in the same order."""
+    """The shared adaptive model; encoder and decoder call it with the same ids in the same order.
+
+    A context's entry is its predicted id and, in the lowest bits, the count of how often that was right.
+    """
 
     def __init__(self, vocabulary: int, lanes: int):
         self.vocabulary = vocabulary
         self.bits = max(12, (4 * vocabulary - 1).bit_length())
         if self.bits > TOTAL_BITS - 3:
             raise ValueError(f"a vocabulary of {vocabulary} ids is too large for {TOTAL_BITS} bits")
-        self.next1 = np.zeros(vocabulary, np.int64)
-        self.sure1 = np.zeros(vocabulary, np.int64)
-        self.next2 = np.zeros(1 << ORDER2_BITS, np.int64)
-        self.sure2 = np.zeros(1 << ORDER2_BITS, np.int64)
-        cells = (SURE + 1) * (SURE + 1)
-        self.seen = np.full(cells, 4.0)
-        self.right2 = np.full(cells, 1.0)
-        self.right1 = np.full(cells, 0.5)
+        self.order1 = np.zeros(vocabulary, np.int64)
+        self.order2 = np.zeros(1 << ORDER2_BITS, np.int64)
+        self.seen = np.full(CELLS, 4.0)
+        self.right2 = np.full(CELLS, 1.0)
+        self.right1 = np.full(CELLS, 0.5)
         self.counts = np.zeros(vocabulary, np.int64)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
@@ -88,51 +102,53 @@ class Model:
         self.w2 = np.maximum(1, (w2 * scale).astype(np.int64))
         self.w1 = np.maximum(1, (w1 * scale).astype(np.int64))
 
-    def predict(self) -> tuple[np.ndarray, ...]:
-        """Predictions a and b of each lane and the interval weights of both."""
+    def _predict(self) -> tuple[np.ndarray, ...]:
+        """Interval weights of each lane's predictions a and b, and of all else."""
         self.slot = ((self.before * 0x2545F491 + self.last * 0x9E3779B1) >> 7) & ((1 << ORDER2_BITS) - 1)
-        self.a, self.b = self.next2[self.slot], self.next1[self.last]
-        self.cell = self.sure2[self.slot] * (SURE + 1) + self.sure1[self.last]
-        return self.a, self.b, self.w2[self.cell], self.w1[self.cell]
+        self.entry2, self.entry1 = self.order2.take(self.slot), self.order1.take(self.last)
+        self.a, self.b = self.entry2 >> SURE_BITS, self.entry1 >> SURE_BITS
+        self.cell = (self.entry2 & SURE) << SURE_BITS | self.entry1 & SURE
+        w2, w1 = self.w2.take(self.cell), self.w1.take(self.cell)
+        return w2, w1, (1 << TOTAL_BITS) - w2 - w1
+
+    def _intervals(self, ids: np.ndarray, w2: np.ndarray, w1: np.ndarray, w0: np.ndarray, in2: np.ndarray, in1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the ids' intervals; those told by a prediction (``in2``, ``in1``) have its interval."""
+        low = (self.edges.take(ids) * w0) >> self.bits
+        size = ((self.edges.take(ids + 1) * w0) >> self.bits) - low
+        start = low + w2 + w1
+        start[in1], size[in1] = w2[in1], w1[in1]
+        start[in2], size[in2] = 0, w2[in2]
+        return start.view(np.uint64), size.view(np.uint64)
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a, b, w2, w1 = self.predict()
-        is2, is1 = ids == a, ids == b
-        w0 = (1 << TOTAL_BITS) - w2 - w1
-        low = (self.edges[ids] * w0) >> self.bits
-        high = (self.edges[ids + 1] * w0) >> self.bits
-        start = np.where(is2, 0, np.where(is1, w2, w2 + w1 + low))
-        size = np.where(is2, w2, np.where(is1, w1, high - low))
-        return start.astype(np.uint64), size.astype(np.uint64)
+        weights = self._predict()
+        return self._intervals(ids, *weights, np.flatnonzero(ids == self.a), np.flatnonzero(ids == self.b))
 
     def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids whose intervals hold ``code``, and the intervals."""
-        a, b, w2, w1 = self.predict()
-        w0 = (1 << TOTAL_BITS) - w2 - w1
+        w2, w1, w0 = self._predict()
         rest = code - w2 - w1
         if self.slots is None:
-            self.slots = np.repeat(np.arange(self.vocabulary, dtype=np.int32), np.diff(self.edges))
-        ids = self.slots[np.minimum(((np.maximum(rest, 0) + 1 << self.bits) - 1) // w0, (1 << self.bits) - 1)].astype(np.int64)
-        in2, in1 = code < w2, (code >= w2) & (rest < 0)
-        low = (self.edges[ids] * w0) >> self.bits
-        high = (self.edges[ids + 1] * w0) >> self.bits
-        start = np.where(in2, 0, np.where(in1, w2, w2 + w1 + low))
-        size = np.where(in2, w2, np.where(in1, w1, high - low))
-        return np.where(in2, a, np.where(in1, b, ids)), start.astype(np.uint64), size.astype(np.uint64)
+            self.slots = np.repeat(np.arange(self.vocabulary), np.diff(self.edges))
+        # Both are positive, and unsigned division is the faster one.
+        at = (((np.maximum(rest, 0) + 1 << self.bits) - 1).view(np.uint64) // w0.view(np.uint64)).view(np.int64)
+        ids = self.slots.take(np.minimum(at, (1 << self.bits) - 1))
+        in2, in1 = np.flatnonzero(code < w2), np.flatnonzero((code >= w2) & (rest < 0))
+        start, size = self._intervals(ids, w2, w1, w0, in2, in1)
+        ids[in1], ids[in2] = self.b[in1], self.a[in2]
+        return ids, start, size
 
     def update(self, ids: np.ndarray) -> None:
         """Learn one step's ids; must follow interval() or find()."""
-        is2, is1 = ids == self.a, ids == self.b
-        cells = len(self.seen)
-        self.seen += np.bincount(self.cell, minlength=cells)
-        self.right2 += np.bincount(self.cell[is2], minlength=cells)
-        self.right1 += np.bincount(self.cell[is1 & ~is2], minlength=cells)
-        sure2, sure1 = self.cell // (SURE + 1), self.cell % (SURE + 1)
+        case = self.cell + CELLS * (ids == self.a) + 2 * CELLS * (ids == self.b)
+        wrong, only2, only1, both = np.bincount(case, minlength=4 * CELLS).reshape(4, CELLS)
+        self.seen += wrong + only2 + only1 + both
+        self.right2 += only2 + both
+        self.right1 += only1
         # A prediction that was right grows surer; a wrong one loses half, and gives way at none.
-        self.next2[self.slot] = np.where(is2 | (sure2 == 0), ids, self.a)
-        self.sure2[self.slot] = np.where(is2, np.minimum(sure2 + 1, SURE), sure2 >> 1)
-        self.next1[self.last] = np.where(is1 | (sure1 == 0), ids, self.b)
-        self.sure1[self.last] = np.where(is1, np.minimum(sure1 + 1, SURE), sure1 >> 1)
+        fresh = ids << SURE_BITS
+        self.order2[self.slot] = np.where(GIVES_WAY2.take(case), fresh, self.entry2 + CHANGE2.take(case))
+        self.order1[self.last] = np.where(GIVES_WAY1.take(case), fresh, self.entry1 + CHANGE1.take(case))
         self._pending.append(ids)
         self.before, self.last = self.last, ids
         self._steps += 1
@@ -150,6 +166,21 @@ def _lanes_of(n: int) -> int:
     return max(1, min(LANES, n // 256))
 
 
+def _by_lane(ids: np.ndarray, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The ids of all lanes beside their places in a table with a row for each step.
+
+    The first lanes have one id more than the others, where the ids do not fill all
+    steps. Few lanes at a time, since lines of a cache that hold a column are few.
+    """
+    lanes = table.shape[1]
+    steps, more = divmod(len(ids), lanes)
+    cut = more * (steps + 1)
+    longer, others = ids[:cut].reshape(more, steps + 1), ids[cut:].reshape(lanes - more, steps)
+    for own, places in ((longer, table[:, :more]), (others, table[:steps, more:])):
+        for at in range(0, len(own), 32):
+            yield own[at : at + 32].T, places[:, at : at + 32]
+
+
 def _leb128(values: np.ndarray) -> bytes:
     out = bytearray()
     for v in values.tolist():
@@ -177,7 +208,7 @@ def _read_leb128(data: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
 
 def encode_block(documents: list[np.ndarray], vocabulary: int) -> bytes:
     """One block of the documents' ids, all below ``vocabulary``."""
-    ids = np.concatenate([np.zeros(0, np.uint32), *documents]).astype(np.int64)
+    ids = np.concatenate([np.zeros(0, np.uint32), *documents]).astype("<u4")
     if len(ids) and int(ids.max()) >= vocabulary:
         raise ValueError(f"id {int(ids.max())} is not in a vocabulary of {vocabulary}")
     lengths = np.array([len(d) for d in documents], np.int64)
@@ -185,8 +216,9 @@ def encode_block(documents: list[np.ndarray], vocabulary: int) -> bytes:
     steps, more = divmod(len(ids), lanes)
     lane_words, words = np.zeros(lanes, np.int64), np.zeros((0, lanes), np.uint32)
     if len(ids):
-        # The first ``more`` lanes have one id more; a step reads one id of each lane.
-        first = np.arange(lanes) * steps + np.minimum(np.arange(lanes), more)
+        table = np.zeros((steps + 1, lanes), np.uint32)
+        for part, of_lanes in _by_lane(ids, table):
+            of_lanes[:] = part
         words = np.zeros((steps + 4, lanes), np.uint32)
         low = np.zeros(lanes, np.uint64)
         width = np.full(lanes, np.uint64(2**64 - 1))
@@ -195,7 +227,7 @@ def encode_block(documents: list[np.ndarray], vocabulary: int) -> bytes:
             live = lanes if step < steps else more
             if live < lanes:
                 model.narrow(live)
-            now = ids[first[:live] + step]
+            now = table[step, :live].astype(np.int64)
             start, size = model.interval(now)
             unit = width[:live] >> _T
             moved = low[:live] + start * unit
@@ -213,7 +245,7 @@ def encode_block(documents: list[np.ndarray], vocabulary: int) -> bytes:
             lane_words += 1
             low <<= _32
     head = HEADER.pack(
-        MAGIC, VERSION, lanes, len(ids), vocabulary, len(documents), zlib.crc32(ids.astype("<u4").tobytes())
+        MAGIC, VERSION, lanes, len(ids), vocabulary, len(documents), zlib.crc32(ids)
     )
     body = words.T[np.arange(len(words))[None, :] < lane_words[:, None]].astype("<u4").tobytes()
     return head + _leb128(lengths) + _leb128(lane_words) + body
@@ -237,10 +269,10 @@ def decode_block(data: bytes) -> list[np.ndarray]:
     stored = np.frombuffer(data, "<u4", offset=at).astype(np.uint64)
     if len(stored) != lane_words.sum() or lengths.sum() != n:
         raise ValueError("a token block is cut short")
-    ids = np.zeros(n, np.int64)
+    ids = np.zeros(n, "<u4")
     if n:
         steps, more = divmod(n, lanes)
-        first = np.arange(lanes) * steps + np.minimum(np.arange(lanes), more)
+        table = np.zeros((steps + 1, lanes), np.uint32)
         stored = np.concatenate([stored, np.zeros(2, np.uint64)])
         place = np.cumsum(lane_words) - lane_words
         value = (stored[place] << _32) | stored[place + 1]
@@ -260,9 +292,11 @@ def decode_block(data: bytes) -> list[np.ndarray]:
             value[due] = (value[due] << _32) | stored[np.minimum(place[due], len(stored) - 1)]
             place[due] += 1
             width[due] <<= _32
-            ids[first[:live] + step] = now
+            table[step, :live] = now
             model.update(now)
-    if zlib.crc32(ids.astype("<u4").tobytes()) != check:
+        for part, of_lanes in _by_lane(ids, table):
+            part[:] = of_lanes
+    if zlib.crc32(ids) != check:
         raise ValueError("a token block does not have its checksum")
     ends = np.cumsum(lengths)
-    return [d.astype(np.uint32) for d in np.split(ids, ends[:-1])] if documents else []
+    return np.split(ids, ends[:-1]) if documents else []

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arcweave.llm.token_coder import BLOCK_IDS, decode_block, encode_block
-from arcweave.llm.tokens import ENCODED_TOGETHER, encoder
+from arcweave.llm.tokens import ENCODED_TOGETHER, TEXTS_TOGETHER, encoder
 from arcweave.llm.words import column, slices
 from arcweave.scratch import Scratch
 
@@ -49,7 +49,7 @@ def coded(docs: DataFrame, vocabulary: str | None = None, vocabulary_ids: int =
             arrays = [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([whose], pa.list_(ids_type)), pa.array([data], pa.binary())]
             return pa.RecordBatch.from_arrays(arrays, ["part", "block_no", "doc_ids", "data"])
 
-        for batch in slices(batches, "text", most_bytes=ENCODED_TOGETHER):
+        for batch in slices(batches, "text", most_rows=TEXTS_TOGETHER, most_bytes=ENCODED_TOGETHER):
             part = column(batch, "part")[0].as_py()
             ids_type = column(batch, "doc_id").type
             texts = encode(t or "" for t in column(batch, "text").to_pylist())
@@ -116,7 +116,7 @@ def digests(blocks: DataFrame) -> DataFrame:
                     pa.array(np.arange(n, dtype=np.int32)),
                     column(batch, "doc_ids")[i].values,
                     pa.array(sizes),
-                    pa.array([zlib.crc32(d.astype("<u4").tobytes()) for d in documents], pa.int64()),
+                    pa.array([zlib.crc32(d) for d in documents], pa.int64()),
                     pa.array(np.cumsum(sizes) - sizes),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, ["part", "block_no", "doc_no", "doc_id", "n_tokens", "ids_crc32", "before"])

@@ -1,17 +1,21 @@
 """Token files and packing against the library's ids."""
 
+import gc
+import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from arcweave.llm import packing, token_coder, token_files
+from arcweave.llm import packing, token_coder, token_files, tokens
 from arcweave.llm.queries import op2_token_files, op4_packing
 from arcweave.llm.tokens import Encoder
 
@@ -38,6 +42,58 @@ def test_remembered_parts_give_the_library_ids(name, keeps):
         assert own.encode([text or ""])[0].tolist() == plain(text)
 
 
+@pytest.mark.parametrize("name,keeps", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_marks_after_words_are_parts_of_their_own(name, keeps):
+    plain, own = library(name), Encoder(public_tokenizers.path(name), keeps)
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.text(alphabet="asté1S.,$'%_- \n\u0301😀", max_size=20))
+    def same(text):
+        assert own.encode([text])[0].tolist() == plain(text)
+
+    same()
+    own = Encoder(public_tokenizers.path(name), keeps)
+    own.encode(["maße$$$ maße... maße.%% maße\nmaße!"])
+    assert sum("maße" in part for part in own._parts.to_pylist()) == 1 + keeps  # with and without the space
+
+
+@pytest.mark.parametrize("name,keeps", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_forgotten_parts_are_encoded_anew(name, keeps, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    monkeypatch.setattr(tokens, "TOGETHER", 8)
+    monkeypatch.setattr(tokens, "MOVED", 7)
+    plain, own = library(name), Encoder(public_tokenizers.path(name), keeps)
+    rng = random.Random(3)
+    for _ in range(60):
+        texts = [" ".join(rng.choice(["the", "a1b", "x.y", "é", "zwei.", "  "]) + "abc"[i % 3] * rng.randint(0, 60) for i in range(30)) for _ in range(3)]
+        assert [ids.tolist() for ids in own.encode(texts)] == [plain(text) for text in texts]
+        assert len(own._parts) == len(own._sizes) == len(own._met) <= 100 and len(own._part_ids) == own._sizes.sum()
+
+
+def test_remembered_parts_take_little_memory():
+    rng = random.Random(5)
+    text = " ".join({"".join(rng.choices("abcdefghij", k=9)) for _ in range(60_000)})
+    own = Encoder(public_tokenizers.path("word_bpe_49k.json"), False)
+    own.encode(["a b"])
+    gc.collect()
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    own.encode([text])
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 100 * 60_000  # as Python objects they took over 130 bytes a part
+    own.encode(["ab" * 40 + " " + "ab" * 32])
+    assert own._parts.to_pylist().count("ab" * 40) == 0 and own._parts.to_pylist().count("ab" * 32) == 1
+
+
+def test_blocks_keep_their_bytes():
+    rng = np.random.default_rng(11)
+    documents = [rng.zipf(1.3, n).clip(0, 49407).astype(np.uint32) for n in (0, 1, 300, 70001, 12, 30000)]
+    documents.append(np.tile(np.arange(500, dtype=np.uint32), 200))
+    assert hashlib.sha256(token_coder.encode_block(documents, 49408)).hexdigest() == "9363c20f48eb4b4c54011ad8f65f64288b54c32856ba0ec03b41f66478e08fc6"
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(1)
     cases = [
