@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arcweave.llm.tokens import ENCODED_TOGETHER, TEXTS_TOGETHER, encoder
+from arcweave.llm.tokens import ENCODED_TOGETHER, TEXTS_TOGETHER, encoder, give_back
 from arcweave.llm.words import column, slices
 from arcweave.scratch import Scratch
 
@@ -69,6 +69,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, capa
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
             arrays += [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(cut, fields)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arcweave.llm.token_coder import BLOCK_IDS, decode_block, encode_block
-from arcweave.llm.tokens import ENCODED_TOGETHER, TEXTS_TOGETHER, encoder
+from arcweave.llm.tokens import ENCODED_TOGETHER, TEXTS_TOGETHER, encoder, give_back
 from arcweave.llm.words import column, slices
 from arcweave.scratch import Scratch
 
@@ -63,6 +63,7 @@ def coded(docs: DataFrame, vocabulary: str | None = None, vocabulary_ids: int =
                 size += len(ids)
         if held:
             yield block()
+        give_back()
 
     placed = (
         docs.select("doc_id", "text")

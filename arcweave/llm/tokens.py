@@ -81,6 +81,11 @@ def encoder(path: str, keeps_space: bool) -> Encoder:
     return Encoder(path, keeps_space)
 
 
+def give_back() -> None:
+    """Return what Arrow holds unused to the system: a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+
+
 class Encoder:
     """Ids of texts under one vocabulary file of the tokenizers library.
 
